@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from sievework.llm import pii
+from sievework.llm import pii, toxicity
 
 QUERIES: dict = {
+    "op8_toxicity": toxicity.op8_toxicity,
     "op10_pii": pii.op10_pii,
 }
 ORACLES: dict[str, str] = {}
