@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from sievework.llm import pii, toxicity
+from sievework.llm import oracles, pii, quality, toxicity
 
 QUERIES: dict = {
+    "op5_quality": quality.op5_quality,
     "op8_toxicity": toxicity.op8_toxicity,
     "op10_pii": pii.op10_pii,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op5_quality": oracles.QUALITY,
+}
