@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from sievework.llm import oracles, pii, quality, toxicity
+from sievework.llm import licenses, oracles, pii, quality, toxicity
 
 QUERIES: dict = {
+    "op1_licenses": licenses.op1_licenses,
     "op5_quality": quality.op5_quality,
     "op8_toxicity": toxicity.op8_toxicity,
     "op10_pii": pii.op10_pii,
