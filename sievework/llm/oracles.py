@@ -73,3 +73,19 @@ WITH d AS (
 SELECT doc_id, lang, n_chars, n_words, round(jc, 6) AS js_chars, round(jw, 6) AS js_words, true AS keep FROM m
 WHERE NOT coalesce(jc > 0.17 + 1.2 / sqrt(n_chars), false) AND NOT coalesce(jw > 0.17 + 2.2 / sqrt(n_words), false)
 """
+
+NGRAM_JOIN = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(lower(text), '[^\x00-\x2f\x3a-\x60\x7b-\x7f]+') AS ws FROM documents WHERE doc_id IS NOT NULL
+), g AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) >= 3 THEN list_transform(range(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2]) ELSE [array_to_string(ws, ' ')] END) AS gram
+  FROM d WHERE len(ws) > 0
+), n AS (
+  SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id
+), shared AS (
+  SELECT a.doc_id AS id_a, b.doc_id AS id_b, count(*) AS k FROM g a JOIN g b ON a.gram = b.gram AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id
+)
+SELECT id_a, id_b, round(k / (x.n + y.n - k)::DOUBLE, 6) AS jaccard
+FROM shared JOIN n x ON x.doc_id = id_a JOIN n y ON y.doc_id = id_b
+WHERE k >= 0.6 * (x.n + y.n - k) - 1e-9
+"""

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from sievework.llm import licenses, oracles, pii, quality, toxicity
+from sievework.llm import licenses, ngram_join, oracles, pii, quality, toxicity
 
 QUERIES: dict = {
     "op1_licenses": licenses.op1_licenses,
     "op5_quality": quality.op5_quality,
     "op8_toxicity": toxicity.op8_toxicity,
+    "op9_near_duplicates": ngram_join.op9_near_duplicates,
     "op10_pii": pii.op10_pii,
 }
 ORACLES: dict[str, str] = {
     "op5_quality": oracles.QUALITY,
+    "op9_near_duplicates": oracles.NGRAM_JOIN,
 }
