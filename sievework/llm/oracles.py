@@ -89,3 +89,40 @@ SELECT id_a, id_b, round(k / (x.n + y.n - k)::DOUBLE, 6) AS jaccard
 FROM shared JOIN n x ON x.doc_id = id_a JOIN n y ON y.doc_id = id_b
 WHERE k >= 0.6 * (x.n + y.n - k) - 1e-9
 """
+
+
+def _substrings(base: int = 50, depth: int = 12) -> str:
+    """Levels of windows of base, 2 base, ... words; a level without windows ends them."""
+    levels, longest = [], []
+    for k in range(1, depth):
+        n = base << k
+        levels.append(
+            f""", c{k} AS MATERIALIZED (
+  SELECT a.doc_id, a.p, md5(a.h || b.h) AS h FROM r{k - 1} a JOIN r{k - 1} b ON b.doc_id = a.doc_id AND b.p = a.p + {n // 2}
+), r{k} AS MATERIALIZED (
+  SELECT * FROM c{k} WHERE h IN (SELECT h FROM c{k} GROUP BY h HAVING count(DISTINCT doc_id) > 1)
+)"""
+        )
+        longest.append(f"SELECT doc_id, p, {n} AS n FROM r{k}")
+    return rf"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(lower(text), '[^\x00-\x2f\x3a-\x60\x7b-\x7f]+') AS ws FROM documents WHERE doc_id IS NOT NULL
+), c0 AS MATERIALIZED (
+  SELECT doc_id, p, md5(array_to_string(ws[p + 1 : p + {base}], ' ')) AS h
+  FROM (SELECT doc_id, ws, unnest(range(0, len(ws) - {base} + 1)) AS p FROM d WHERE len(ws) >= {base})
+), r0 AS MATERIALIZED (
+  SELECT * FROM c0 WHERE h IN (SELECT h FROM c0 GROUP BY h HAVING count(DISTINCT doc_id) > 1)
+){"".join(levels)}, every AS (
+  SELECT doc_id, p, {base} AS n FROM r0 UNION ALL {" UNION ALL ".join(longest)}
+), hit AS (
+  SELECT doc_id, p, max(n) AS n FROM every GROUP BY doc_id, p
+), cut AS (
+  SELECT *, CASE WHEN p <= lag(p) OVER (PARTITION BY doc_id ORDER BY p) + {base} THEN 0 ELSE 1 END AS new FROM hit
+), span AS (
+  SELECT *, sum(new) OVER (PARTITION BY doc_id ORDER BY p) AS k FROM cut
+)
+SELECT doc_id, min(p) AS start_word, max(p) + {base} AS end_word, max(n)::INTEGER AS longest FROM span GROUP BY doc_id, k
+"""
+
+
+SUBSTRINGS = _substrings()

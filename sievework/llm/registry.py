@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from sievework.llm import licenses, ngram_join, oracles, pii, quality, toxicity
+from sievework.llm import licenses, ngram_join, oracles, pii, quality, substrings, toxicity
 
 QUERIES: dict = {
     "op1_licenses": licenses.op1_licenses,
     "op5_quality": quality.op5_quality,
+    "op7_repeated_passages": substrings.op7_repeated_passages,
     "op8_toxicity": toxicity.op8_toxicity,
     "op9_near_duplicates": ngram_join.op9_near_duplicates,
     "op10_pii": pii.op10_pii,
 }
 ORACLES: dict[str, str] = {
     "op5_quality": oracles.QUALITY,
+    "op7_repeated_passages": oracles.SUBSTRINGS,
     "op9_near_duplicates": oracles.NGRAM_JOIN,
 }
