@@ -126,3 +126,48 @@ SELECT doc_id, min(p) AS start_word, max(p) + {base} AS end_word, max(n)::INTEGE
 
 
 SUBSTRINGS = _substrings()
+
+
+def _fill(name: str, parent: str, source: str) -> str:
+    """CTEs that share ``budget`` of the rows of ``source`` among children; ``parent``: columns of the parent."""
+    return f"""
+{name}_w AS (
+  SELECT *, CASE WHEN sum(weight) OVER (PARTITION BY {parent}) > 0 THEN weight ELSE 1.0 END AS w FROM {source}
+), {name}_r AS (
+  SELECT *, CASE WHEN w > 0 THEN capacity / w ELSE 'inf'::DOUBLE END AS ratio FROM {name}_w
+), {name}_l AS (
+  SELECT *, (budget - coalesce(sum(capacity) OVER (PARTITION BY {parent} ORDER BY ratio, name NULLS FIRST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::DOUBLE
+    / nullif(sum(w) OVER (PARTITION BY {parent} ORDER BY ratio, name NULLS FIRST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING), 0) AS lv FROM {name}_r
+), {name}_m AS (
+  SELECT *, max(CASE WHEN ratio > lv THEN lv END) OVER (PARTITION BY {parent}) AS level FROM {name}_l
+), {name} AS (
+  SELECT *, floor(CASE WHEN level IS NULL THEN CASE WHEN w > 0 THEN capacity ELSE 0 END ELSE least(capacity::DOUBLE, greatest(level, 0) * w) END)::BIGINT AS quota FROM {name}_m
+)"""
+
+
+MIXTURE = rf"""
+WITH docs AS (
+  SELECT doc_id, ['web', 'reference', 'forum', 'archive'][coalesce(try_cast(nullif(regexp_extract(source, '([0-9]{{1,9}})$', 1), '') AS INTEGER), 0) % 4 + 1] AS domain, lang, source,
+    len(regexp_extract_all(text, '[^\x09-\x0d\x20]+'))::BIGINT AS tokens FROM documents
+), leaves AS (
+  SELECT domain, lang, source, sum(tokens)::BIGINT AS tokens, sum(tokens)::BIGINT * 3 AS capacity FROM docs GROUP BY domain, lang, source
+), in_d AS (
+  SELECT domain, domain AS name, sum(capacity)::BIGINT AS capacity, (SELECT floor(sum(tokens) * 0.6::DOUBLE)::BIGINT FROM leaves) AS budget, 1 AS top,
+    CASE domain WHEN 'web' THEN 4.0 WHEN 'reference' THEN 3.0 WHEN 'forum' THEN 2.0 ELSE 1.0 END::DOUBLE AS weight FROM leaves GROUP BY domain
+), {_fill("q_d", "top", "in_d")}, in_l AS (
+  SELECT l.domain, l.lang, l.lang AS name, sum(l.capacity)::BIGINT AS capacity, any_value(q.quota) AS budget,
+    CASE l.lang WHEN 'en' THEN 6.0 WHEN 'de' THEN 1.5 WHEN 'fr' THEN 1.5 ELSE 1.0 END::DOUBLE AS weight
+  FROM leaves l JOIN q_d q ON l.domain IS NOT DISTINCT FROM q.domain GROUP BY l.domain, l.lang
+), {_fill("q_l", "domain", "in_l")}, in_s AS (
+  SELECT l.domain, l.lang, l.source, l.source AS name, l.tokens, l.capacity, q.quota AS budget, 1.0::DOUBLE AS weight
+  FROM leaves l JOIN q_l q ON l.domain IS NOT DISTINCT FROM q.domain AND l.lang IS NOT DISTINCT FROM q.lang
+), {_fill("q_s", "domain, lang", "in_s")}, leaf AS (
+  SELECT domain, lang, source, quota // tokens AS whole, quota % tokens AS rest FROM q_s WHERE tokens > 0
+), epochs AS (
+  SELECT d.doc_id, d.domain, d.lang, d.source, d.tokens, l.whole, l.rest, unnest(range(0, l.whole + 1)) AS epoch
+  FROM docs d JOIN leaf l ON d.domain IS NOT DISTINCT FROM l.domain AND d.lang IS NOT DISTINCT FROM l.lang AND d.source IS NOT DISTINCT FROM l.source WHERE d.tokens > 0
+), run AS (
+  SELECT *, sum(tokens) OVER (PARTITION BY domain, lang, source, epoch ORDER BY md5(concat_ws(':', '17', epoch::VARCHAR, coalesce(doc_id::VARCHAR, '')))) AS upto FROM epochs
+)
+SELECT doc_id, epoch::INTEGER AS epoch, domain, lang, source, tokens AS n_tokens FROM run WHERE epoch < whole OR upto <= rest
+"""

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from sievework.llm import licenses, ngram_join, oracles, pii, quality, substrings, toxicity
+from sievework.llm import licenses, mixing, ngram_join, oracles, packing, pii, quality, substrings, toxicity
 
 QUERIES: dict = {
     "op1_licenses": licenses.op1_licenses,
+    "op2_packing": packing.op2_packing,
+    "op4_mixture": mixing.op4_mixture,
     "op5_quality": quality.op5_quality,
     "op7_repeated_passages": substrings.op7_repeated_passages,
     "op8_toxicity": toxicity.op8_toxicity,
@@ -13,6 +15,7 @@ QUERIES: dict = {
     "op10_pii": pii.op10_pii,
 }
 ORACLES: dict[str, str] = {
+    "op4_mixture": oracles.MIXTURE,
     "op5_quality": oracles.QUALITY,
     "op7_repeated_passages": oracles.SUBSTRINGS,
     "op9_near_duplicates": oracles.NGRAM_JOIN,
