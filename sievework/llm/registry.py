@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from sievework.llm import licenses, mixing, ngram_join, oracles, packing, pii, quality, substrings, toxicity
+from sievework.llm import licenses, mixing, ngram_join, oracles, packing, pii, quality, substrings, toxicity, urls
 
 QUERIES: dict = {
     "op1_licenses": licenses.op1_licenses,
     "op2_packing": packing.op2_packing,
+    "op3_url_filter": urls.op3_url_filter,
     "op4_mixture": mixing.op4_mixture,
     "op5_quality": quality.op5_quality,
     "op7_repeated_passages": substrings.op7_repeated_passages,
