@@ -171,3 +171,15 @@ WITH docs AS (
 )
 SELECT doc_id, epoch::INTEGER AS epoch, domain, lang, source, tokens AS n_tokens FROM run WHERE epoch < whole OR upto <= rest
 """
+
+
+TOPK = """
+WITH v AS (
+  SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings WHERE vec_id IS NOT NULL
+), d AS (
+  SELECT a.vec_id, b.vec_id AS neighbour_id, round(list_distance(a.e, b.e), 9) AS d FROM v a JOIN v b ON a.vec_id <> b.vec_id
+), r AS (
+  SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY d, neighbour_id) AS rank FROM d
+)
+SELECT vec_id, neighbour_id, rank::INTEGER AS rank, round(d, 6) AS distance FROM r WHERE rank <= 10
+"""
