@@ -7,10 +7,10 @@ Documents are spread over blocks of about ``block_bins`` sequences by a hash. In
 block best-fit decreasing gives the incumbent. If it needs more sequences than the
 bound ceil(tokens / capacity), a depth-first search tries to do with fewer: it takes
 the largest document left, enumerates the fillings of its sequence that no other
-filling dominates, most filled first, and leaves a branch when the waste so far
-exceeds what the incumbent less one sequence may waste, or when at its end best fit of
-the rest gives a better incumbent. The search ends at the bound, when it is
-exhausted, or after ``max_nodes`` nodes; the incumbent is then the result, so every
+filling dominates, fuller ones first, and leaves a branch when the waste so far
+exceeds what the incumbent less one sequence may waste. At each node best fit of the
+rest may give a better incumbent. The search ends at the bound, when it is
+exhausted, or after ``max_work`` steps; the incumbent is then the result, so every
 document is packed whatever the limit.
 
 Defined results: null and empty texts have no tokens and are in no sequence;
@@ -24,6 +24,7 @@ from __future__ import annotations
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import islice
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -39,8 +40,7 @@ SEQUENCES = "bin_id string, doc_ids array<long>, starts array<long>, lengths arr
 class PackParams:
     capacity: int = 2048
     block_bins: int = 256
-    max_nodes: int = 2000
-    max_fill: int = 4
+    max_work: int = 20_000
     seed: int = 5
 
 
@@ -62,45 +62,43 @@ def best_fit(sizes: list[int], capacity: int) -> list[list[int]]:
     return bins
 
 
-def fillings(sizes: list[int], room: int, max_fill: int) -> list[tuple[int, ...]]:
-    """Sets of indices of ``sizes`` (which descend) that fit ``room``, without those that another dominates.
+def fillings(sizes: list[int], room: int, waste: int, step) -> Iterator[tuple[int, ...]]:
+    """Sets of indices of ``sizes`` (which descend) that leave at most ``waste`` of ``room``, without dominated ones.
 
-    A filling is dominated if nothing or one item is exchanged for a larger total by an
-    item that still fits: a filling to which an item could be added, and one of whose
-    items could be replaced by a larger one that fits, are left out. All of up to ``max_fill``
-    items are enumerated; equal sizes count once.
+    A filling is dominated by one with more in it if an item could be added, or an item
+    be replaced by a larger one: whatever packs the rest after the lesser filling also packs
+    it after the greater. Equal sizes count once. ``step()`` is called for each partial
+    filling and ends the enumeration when it returns False.
     """
-    out: list[tuple[int, tuple[int, ...]]] = []
     n = len(sizes)
-    smallest = sizes[-1] if sizes else 0
 
     def undominated(chosen: tuple[int, ...], left: int) -> bool:
         taken = set(chosen)
+        if any(j not in taken for j in range(_first_fit(sizes, left), min(n, _first_fit(sizes, left) + len(chosen) + 1))):
+            return False
         for i in chosen:
-            lo = _first_fit(sizes, sizes[i] + left)
-            while lo < i and sizes[lo] > sizes[i]:
-                if lo not in taken:
+            j = _first_fit(sizes, sizes[i] + left)
+            while j < i and sizes[j] > sizes[i]:
+                if j not in taken:
                     return False
-                lo += 1
+                j += 1
         return True
 
-    def grow(start: int, left: int, chosen: tuple[int, ...]) -> None:
-        at = max(start, _first_fit(sizes, left))
-        if at >= n and not (chosen and left >= smallest and _first_fit(sizes, left) < n and any(j not in chosen for j in range(_first_fit(sizes, left), n))):
-            if undominated(chosen, left):
-                out.append((left, chosen))
-            return
-        if len(chosen) == max_fill:
-            out.append((left, chosen))  # deeper fillings are left to best fit
+    def grow(start: int, left: int, chosen: tuple[int, ...]) -> Iterator[tuple[int, ...]]:
+        if not step():
             return
+        at = max(start, _first_fit(sizes, left))
+        if left <= waste and undominated(chosen, left):
+            yield chosen
         previous = None
         for j in range(at, n):
             if sizes[j] != previous:
-                grow(j + 1, left - sizes[j], (*chosen, j))
                 previous = sizes[j]
+                yield from grow(j + 1, left - sizes[j], (*chosen, j))
+                if not step():
+                    return
 
-    grow(0, room, ())
-    return [c for _, c in sorted(out)]
+    return grow(0, room, ())
 
 
 def _first_fit(sizes: list[int], room: int) -> int:
@@ -115,30 +113,37 @@ def _first_fit(sizes: list[int], room: int) -> int:
     return lo
 
 
-def pack(sizes: list[int], capacity: int, max_nodes: int = 2000, max_fill: int = 4) -> list[list[int]]:
+def pack(sizes: list[int], capacity: int, max_work: int = 20_000) -> list[list[int]]:
     """Bins as indices of ``sizes`` (descending, none over ``capacity``)."""
     best = best_fit(sizes, capacity)
     total = sum(sizes)
     bound = -(-total // capacity)
-    nodes = 0
+    work = 0
+
+    def step() -> bool:
+        nonlocal work
+        work += 1
+        return work < max_work and len(best) > bound
 
     def search(left: list[int], done: list[list[int]], waste: int) -> None:
-        nonlocal best, nodes
-        nodes += 1
+        nonlocal best, work
+        work += len(left) // 8
         rest = [[left[i] for i in b] for b in best_fit([sizes[i] for i in left], capacity)]
         if len(done) + len(rest) < len(best):
             best = done + rest
-        if not left or len(best) == bound:
+        if not left or not step():
             return
         head, others = left[0], left[1:]
-        for chosen in fillings([sizes[i] for i in others], capacity - sizes[head], max_fill):
-            if len(best) == bound or nodes >= max_nodes:
-                return
-            full = [head, *(others[j] for j in chosen)]
-            wasted = waste + capacity - sum(sizes[i] for i in full)
-            if wasted <= (len(best) - 1) * capacity - total:
-                taken = set(chosen)
-                search([x for j, x in enumerate(others) if j not in taken], [*done, full], wasted)
+        spare = lambda: (len(best) - 1) * capacity - total - waste
+        every = fillings([sizes[i] for i in others], capacity - sizes[head], spare(), step)
+        while some := sorted(islice(every, 32), key=lambda c: (-sum(sizes[others[j]] for j in c), c)):
+            for chosen in some:
+                wasted = capacity - sizes[head] - sum(sizes[others[j]] for j in chosen)
+                if wasted <= spare():
+                    taken = set(chosen)
+                    search([x for j, x in enumerate(others) if j not in taken], [*done, [head, *(others[j] for j in chosen)]], waste + wasted)
+                if not step():
+                    return
 
     if len(best) > bound:
         search(list(range(len(sizes))), [], 0)
@@ -164,7 +169,7 @@ def sequences(docs: DataFrame, p: PackParams = PackParams()) -> DataFrame:
                 rest.append((-left, -1 if doc is None else doc, whole * p.capacity, doc))
         rows.sort(key=lambda r: (-1 if r[0][0] is None else r[0][0], r[1]))
         rest.sort(key=lambda r: r[:3])
-        for own in pack([-r[0] for r in rest], p.capacity, p.max_nodes, p.max_fill):
+        for own in pack([-r[0] for r in rest], p.capacity, p.max_work):
             some = [rest[i] for i in own]
             rows.append(([r[3] for r in some], [r[2] for r in some], [-r[0] for r in some], -sum(r[0] for r in some)))
         return pd.DataFrame([(f"{b}-{k}", *r) for k, r in enumerate(rows)], columns=["bin_id", "doc_ids", "starts", "lengths", "n_tokens"])
