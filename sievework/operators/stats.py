@@ -77,7 +77,7 @@ def rates(samples: DataFrame, t: str, n: str, trailing: int = 30) -> DataFrame:
     w = Window.orderBy(t)
     dt = F.col(t) - F.lag(t).over(w)
     out = samples.withColumn("dt", dt).withColumn("dn", F.col(n) - F.lag(n).over(w)).where("dt > 0")
-    out = out.withColumn("rate", F.round(F.col("dn") / F.col("dt") * 60, 1)).drop("dt", "dn")
+    out = out.withColumn("rate", F.round(F.col("dn") * 60 / F.col("dt"), 1)).drop("dt", "dn")
     return out.withColumn("trailing", F.round(F.avg("rate").over(w.rowsBetween(1 - trailing, 0)), 6))
 
 

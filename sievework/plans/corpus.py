@@ -149,10 +149,10 @@ def clean_text(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, _DOCS).select("doc_id", T.clean(F.col("text")).alias("text"))
 
 
-@query("exact_dup_first", "SELECT doc_id, CASE WHEN doc_id > f THEN f END AS duplicate_of FROM (SELECT doc_id, min(doc_id) OVER (PARTITION BY text) AS f FROM documents)")
+@query("exact_dup_first", "SELECT doc_id, CASE WHEN doc_id > f THEN f ELSE -1 END AS duplicate_of FROM (SELECT doc_id, min(doc_id) OVER (PARTITION BY text) AS f FROM documents)")
 def exact_dup_first(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, _DOCS).select("doc_id", F.sha2("text", 256).alias("h"))
-    return R.first_position(docs, "h", "doc_id").select("doc_id", "duplicate_of")
+    return R.first_position(docs, "h", "doc_id").select("doc_id", F.coalesce("duplicate_of", F.lit(-1)).alias("duplicate_of"))
 
 
 @query("keep_first_text", "SELECT doc_id, source FROM (SELECT *, row_number() OVER (PARTITION BY text ORDER BY doc_id) AS r FROM documents) WHERE r = 1")

@@ -124,7 +124,7 @@ WITH p AS ({PAIRS_SQL}), j AS (
     {_TOK.format(c="(" + _USER_SQL + ")")} > 700 AS f7, row_index > first_row AS f8 FROM j
 )
 SELECT row_index, array_to_string(list_filter([{", ".join(f"CASE WHEN f{i + 1} THEN '{n}' END" for i, n in enumerate(M.FLAGS))}], lambda x: x IS NOT NULL), ';') AS flags,
-  CASE WHEN row_index > first_row THEN first_row END AS duplicate_of FROM f
+  CASE WHEN row_index > first_row THEN first_row ELSE -1 END AS duplicate_of FROM f
 """
 
 
@@ -139,7 +139,7 @@ def _flagged(spark: SparkSession, d: str) -> DataFrame:
 @query("outlier_flags", _FLAGS_SQL)
 def outlier_flags(spark: SparkSession, d: str) -> DataFrame:
     """Eight flags of each pair, joined in a fixed order."""
-    return _flagged(spark, d).select(F.col("row_index").cast("long").alias("row_index"), "flags", F.col("duplicate_of").cast("long").alias("duplicate_of"))
+    return _flagged(spark, d).select(F.col("row_index").cast("long").alias("row_index"), "flags", F.coalesce("duplicate_of", F.lit(-1)).cast("long").alias("duplicate_of"))
 
 
 @query("flag_counts", f"WITH o AS ({_FLAGS_SQL}) SELECT flag, count(*) AS n, round(count(*) / (SELECT count(*) FROM o)::DOUBLE, 6) AS share FROM (SELECT unnest(string_split(flags, ';')) AS flag FROM o WHERE flags <> '') GROUP BY flag")
@@ -244,13 +244,13 @@ _RATES = {"small": (0.25, 1.5), "large": (1.25, 5.0)}
     "cost_by_model",
     """WITH c AS (SELECT CASE doc_id % 4 WHEN 0 THEN 'small' WHEN 1 THEN 'large' WHEN 2 THEN 'other' END AS model, greatest(1, round_even(n_chars / 1.6::DOUBLE, 0))::INTEGER AS i, (n_chars % 500)::INTEGER AS o FROM documents)
 SELECT coalesce(model, '(default)') AS model, count(*) AS calls, sum(i)::BIGINT AS tokens_in, sum(o)::BIGINT AS tokens_out,
-  round(sum(round_even((i * CASE WHEN coalesce(model, 'small') = 'small' THEN 0.25 ELSE 1.25 END::DOUBLE + o * CASE WHEN coalesce(model, 'small') = 'small' THEN 1.5 ELSE 5.0 END::DOUBLE) / 1e6, 6)), 5) AS cost FROM c GROUP BY model""",
+  round(sum(round_even((i * CASE WHEN coalesce(model, 'small') = 'small' THEN 0.25 ELSE 1.25 END::DOUBLE + o * CASE WHEN coalesce(model, 'small') = 'small' THEN 1.5 ELSE 5.0 END::DOUBLE) / 1e6, 6)), 6) AS cost FROM c GROUP BY model""",
 )
 def cost_by_model(spark: SparkSession, d: str) -> DataFrame:
     model = F.when(F.col("doc_id") % 4 == 0, "small").when(F.col("doc_id") % 4 == 1, "large").when(F.col("doc_id") % 4 == 2, "other")
     c = table(spark, d, "documents").select(model.alias("model"), T.token_estimate(F.col("text")).alias("i"), (F.col("n_chars") % 500).cast("int").alias("o"))
     c = c.withColumn("cost", T.cost(F.col("i"), F.col("o"), F.col("model"), _RATES, "small"))
-    return c.groupBy(F.coalesce("model", F.lit("(default)")).alias("model")).agg(F.count("*").alias("calls"), F.sum("i").alias("tokens_in"), F.sum("o").alias("tokens_out"), F.round(F.sum("cost"), 5).alias("cost"))
+    return c.groupBy(F.coalesce("model", F.lit("(default)")).alias("model")).agg(F.count("*").alias("calls"), F.sum("i").alias("tokens_in"), F.sum("o").alias("tokens_out"), F.round(F.sum("cost"), 6).alias("cost"))
 
 
 @query("budget_stop", "SELECT doc_id, n_chars FROM (SELECT *, coalesce(sum(n_chars) OVER (ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS b FROM documents) WHERE b < 100000")
@@ -262,14 +262,14 @@ def budget_stop(spark: SparkSession, d: str) -> DataFrame:
 @query(
     "name_resolve",
     """WITH t AS (SELECT 'doc_' || (doc_id // 2)::VARCHAR || '.txt' AS name, doc_id AS target FROM documents), b AS (SELECT name, min(target) AS target FROM t GROUP BY name)
-SELECT 'doc_' || doc_id::VARCHAR || '.txt' AS file, coalesce(b.target, CASE WHEN b0.target IS NOT NULL THEN b0.target END) AS target
+SELECT 'doc_' || doc_id::VARCHAR || '.txt' AS file, coalesce(b.target, b0.target, -1) AS target
 FROM documents LEFT JOIN b ON b.name = 'doc_' || doc_id::VARCHAR || '.txt' LEFT JOIN b b0 ON b0.name = 'doc.txt'""",
 )
 def name_resolve(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents")
     files = docs.select(F.concat(F.lit("doc_"), F.col("doc_id").cast("string"), F.lit(".txt")).alias("file"))
     targets = docs.select(F.concat(F.lit("doc_"), F.floor(F.col("doc_id") / 2).cast("string"), F.lit(".txt")).alias("name"), F.col("doc_id").alias("target"), F.col("doc_id").alias("position"))
-    return R.resolve_names(files, targets)
+    return R.resolve_names(files, targets).select("file", F.coalesce("target", F.lit(-1)).alias("target"))
 
 
 @query(

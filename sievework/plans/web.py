@@ -162,7 +162,7 @@ _SAMPLES = "SELECT t, sum(n) OVER (ORDER BY t)::BIGINT AS n FROM (SELECT floor(e
 
 @query(
     "rates_trailing",
-    f"""WITH s AS ({_SAMPLES}), r AS (SELECT t, n, round((n - lag(n) OVER (ORDER BY t)) / (t - lag(t) OVER (ORDER BY t))::DOUBLE * 60, 1) AS rate, t - lag(t) OVER (ORDER BY t) AS dt FROM s)
+    f"""WITH s AS ({_SAMPLES}), r AS (SELECT t, n, round((n - lag(n) OVER (ORDER BY t)) * 60 / (t - lag(t) OVER (ORDER BY t))::DOUBLE, 1) AS rate, t - lag(t) OVER (ORDER BY t) AS dt FROM s)
 SELECT t, n, rate, round(avg(rate) OVER (ORDER BY t ROWS BETWEEN 29 PRECEDING AND CURRENT ROW), 6) AS trailing FROM r WHERE dt > 0""",
 )
 def rates_trailing(spark: SparkSession, d: str) -> DataFrame:
