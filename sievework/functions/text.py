@@ -166,9 +166,9 @@ def hash01(key: Column, salt: str) -> Column:
     return F.conv(F.substring(F.sha1(F.concat(F.lit(salt + "|"), key.cast("string"))), 1, 8), 16, 10).cast("long") / F.lit(4294967296.0)
 
 
-def cost(tokens_in: Column, tokens_out: Column, model: Column, rates: dict[str, tuple[float, float]], default_model: str) -> Column:
-    """Dollars, to 6 decimals; a null model has the default's rate, an unknown one the dearest."""
+def cost(tokens_in: Column, tokens_out: Column, model: Column, rates: dict[str, tuple[float, float]], default_model: str, digits: int = 6) -> Column:
+    """Dollars, to 6 decimals (or other ``digits``); a null model has the default's rate, an unknown one the dearest."""
     top = max(rates.values(), key=lambda r: r[0] + r[1])
     name = F.coalesce(model, F.lit(default_model))
     pick = lambda i: F.coalesce(F.create_map(*[F.lit(x) for m, r in rates.items() for x in (m, r[i])])[name], F.lit(top[i]))
-    return F.bround((tokens_in * pick(0) + tokens_out * pick(1)) / F.lit(1e6), 6)
+    return F.bround((tokens_in * pick(0) + tokens_out * pick(1)) / F.lit(1e6), digits)

@@ -244,13 +244,13 @@ _RATES = {"small": (0.25, 1.5), "large": (1.25, 5.0)}
     "cost_by_model",
     """WITH c AS (SELECT CASE doc_id % 4 WHEN 0 THEN 'small' WHEN 1 THEN 'large' WHEN 2 THEN 'other' END AS model, greatest(1, round_even(n_chars / 1.6::DOUBLE, 0))::INTEGER AS i, (n_chars % 500)::INTEGER AS o FROM documents)
 SELECT coalesce(model, '(default)') AS model, count(*) AS calls, sum(i)::BIGINT AS tokens_in, sum(o)::BIGINT AS tokens_out,
-  round(sum(round_even((i * CASE WHEN coalesce(model, 'small') = 'small' THEN 0.25 ELSE 1.25 END::DOUBLE + o * CASE WHEN coalesce(model, 'small') = 'small' THEN 1.5 ELSE 5.0 END::DOUBLE) / 1e6, 6)), 6) AS cost FROM c GROUP BY model""",
+  round(sum(round_even((i * CASE WHEN coalesce(model, 'small') = 'small' THEN 0.25 ELSE 1.25 END::DOUBLE + o * CASE WHEN coalesce(model, 'small') = 'small' THEN 1.5 ELSE 5.0 END::DOUBLE) / 1e6, 8)), 8) AS cost FROM c GROUP BY model""",
 )
 def cost_by_model(spark: SparkSession, d: str) -> DataFrame:
     model = F.when(F.col("doc_id") % 4 == 0, "small").when(F.col("doc_id") % 4 == 1, "large").when(F.col("doc_id") % 4 == 2, "other")
     c = table(spark, d, "documents").select(model.alias("model"), T.token_estimate(F.col("text")).alias("i"), (F.col("n_chars") % 500).cast("int").alias("o"))
-    c = c.withColumn("cost", T.cost(F.col("i"), F.col("o"), F.col("model"), _RATES, "small"))
-    return c.groupBy(F.coalesce("model", F.lit("(default)")).alias("model")).agg(F.count("*").alias("calls"), F.sum("i").alias("tokens_in"), F.sum("o").alias("tokens_out"), F.round(F.sum("cost"), 6).alias("cost"))
+    c = c.withColumn("cost", T.cost(F.col("i"), F.col("o"), F.col("model"), _RATES, "small", 8))
+    return c.groupBy(F.coalesce("model", F.lit("(default)")).alias("model")).agg(F.count("*").alias("calls"), F.sum("i").alias("tokens_in"), F.sum("o").alias("tokens_out"), F.round(F.sum("cost"), 8).alias("cost"))
 
 
 @query("budget_stop", "SELECT doc_id, n_chars FROM (SELECT *, coalesce(sum(n_chars) OVER (ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS b FROM documents) WHERE b < 100000")
