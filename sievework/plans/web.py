@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sievework.functions import urls as U
+from sievework.operators import collect as L
 from sievework.operators import crawl as W
 from sievework.operators import ocr as O
 from sievework.operators import stats as S
@@ -191,3 +192,36 @@ def streamed_counts(spark: SparkSession, d: str) -> DataFrame:
     from sievework.streaming import progress
 
     return progress.streamed_counts(spark, f"{d}/events.parquet", table(spark, d, "events").schema, "event_type", "value")
+
+
+@query(
+    "page_link_counters",
+    """SELECT lang, count(*) AS links, count(*) FILTER (k = 0) AS downloaded, count(*) FILTER (k IN (2, 3, 5)) AS failed, 0::BIGINT AS pending, count(*) FILTER (k IN (1, 4)) AS skipped
+FROM (SELECT regexp_extract(url, '/([a-z]{2})/', 1) AS lang, page_id % 6 AS k FROM pages) GROUP BY lang""",
+)
+def page_link_counters(spark: SparkSession, d: str) -> DataFrame:
+    """Links by outcome; here the outcome follows from the page's number."""
+    status = F.element_at(F.array(*map(F.lit, ("done", "skipped", "dead", "failed", "unsupported", "unknown"))), (F.col("page_id") % 6 + 1).cast("int"))
+    return L.link_counters(table(spark, d, "pages").select(F.regexp_extract("url", "/([a-z]{2})/", 1).alias("lang"), status.alias("status")), "lang")
+
+
+@query(
+    "provider_compare",
+    """WITH p AS (SELECT doc_id, (i - 1)::INTEGER AS page, parts[i] AS text FROM (SELECT doc_id, parts, unnest(range(1, len(parts) + 1)) AS i FROM (SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents))),
+a AS (SELECT doc_id, page, text FROM p WHERE (doc_id + page) % 11 <> 0), b AS (SELECT doc_id, page, CASE WHEN page % 3 = 0 THEN lower(text) ELSE text END AS text FROM p WHERE (doc_id + page) % 13 <> 0)
+SELECT doc_id, page, coalesce(length(a.text), -1)::INTEGER AS chars_a, coalesce(length(b.text), -1)::INTEGER AS chars_b,
+  CASE WHEN a.text IS NULL THEN 'only b' WHEN b.text IS NULL THEN 'only a' WHEN a.text = b.text THEN 'same' ELSE 'different' END AS verdict FROM a FULL JOIN b USING (doc_id, page)""",
+)
+def provider_compare(spark: SparkSession, d: str) -> DataFrame:
+    """Two readings of each document's pages, side by side."""
+    p = table(spark, d, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("page", "text"))
+    a = p.where((F.col("doc_id") + F.col("page")) % 11 != 0)
+    b = p.where((F.col("doc_id") + F.col("page")) % 13 != 0).withColumn("text", F.when(F.col("page") % 3 == 0, F.lower("text")).otherwise(F.col("text")))
+    out = L.compare_pages(a, b)
+    return out.withColumns({c: F.coalesce(c, F.lit(-1)) for c in ("chars_a", "chars_b")})
+
+
+@query("download_summary", "SELECT CASE WHEN page_id % 4 = 0 THEN 'error' ELSE 'done' END AS status, count(*) AS n, sum(CASE WHEN page_id % 4 = 0 THEN 0 ELSE length(html) END)::BIGINT AS bytes FROM pages GROUP BY 1")
+def download_summary(spark: SparkSession, d: str) -> DataFrame:
+    failed = F.col("page_id") % 4 == 0
+    return L.download_summary(table(spark, d, "pages").select(F.when(failed, "error").otherwise("done").alias("status"), F.when(~failed, F.length("html")).alias("bytes")))

@@ -13,6 +13,7 @@ from sievework.functions import text as T
 from sievework.functions import urls as U
 from sievework.operators import chunking as C
 from sievework.operators import classify as K
+from sievework.operators import collect as L
 from sievework.operators import crawl as W
 from sievework.operators import ocr as O
 from sievework.operators import records as M
@@ -20,7 +21,7 @@ from sievework.operators import relational as R
 from sievework.operators import sampling as P
 from sievework.operators import stats as S
 from sievework.profiles import ChunkSizes
-from sievework.sources import files
+from sievework.sources import boundary, files
 from sievework.streaming import progress
 
 
@@ -262,3 +263,31 @@ def test_stream_counts_once(spark, tmp_path):
 def test_token_estimate_is_half_even(spark):
     assert values(spark, T.token_estimate(c), "", "x" * 4, "x" * 12, "x" * 100) == [max(1, round(n / 1.6)) for n in (0, 4, 12, 100)]
     assert math.isclose(values(spark, T.hash01(c, "s"), "k")[0], values(spark, T.hash01(c, "s"), "k")[0])
+
+
+def test_links_in_messages(spark):
+    text = "see https://a.org/x. and (http://m.bad.com/y) https://a.org/x, https://notbad.com/z!"
+    assert values(spark, L.candidate_links(c, ("bad.com",)), text, "", None) == [["https://a.org/x", "https://notbad.com/z"], [], None]
+
+
+def test_robots(spark):
+    rules = "User-agent: *\nDisallow: /private\n\nUser-agent: bot\nDisallow: /"
+    rows = [(rules, "bot", "http://h/a"), (rules, "bot", "http://h/private/a"), (None, "bot", "http://h/private"), ("", None, None)]
+    assert values(spark, L.robots_allow("r", "a", "u"), *rows, ddl="r string, a string, u string") == [True, False, True, True]
+
+
+def test_sitemaps_are_followed(spark):
+    f = [("root", "<sitemapindex><sitemap><loc> s1 </loc></sitemap><sitemap><loc>root</loc></sitemap></sitemapindex>"), ("s1", "<urlset><url><loc>http://h/a?x=1&amp;y=2</loc></url><url><loc>http://h/b</loc></url></urlset>")]
+    assert {r["url"] for r in L.sitemap_urls(spark.createDataFrame(f, "url string, xml string"), ["root"]).collect()} == {"http://h/a?x=1&y=2", "http://h/b"}
+
+
+def test_bounded_names(spark):
+    got = values(spark, L.bounded_name(c, 10), "a*b.pdf", "0123456789abc.pdf", None)
+    assert got == ["a_b.pdf", "012345.pdf", None]
+
+
+def test_boundaries(spark):
+    df = spark.createDataFrame([(1, "x"), (2, " ")], "i int, t string")
+    assert [r[0]["status"] for r in df.select(boundary.stand_in_page(F.col("t"))).collect()] == ["ok", "blank"]
+    assert boundary.external(df, lambda b: b.assign(t=b["t"] * 2), "i int, t string").collect()[0]["t"] == "xx"
+    assert boundary.token_counter() is T.token_estimate
