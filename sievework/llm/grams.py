@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 
 WORD_SQL = r"[^\x00-\x2f\x3a-\x60\x7b-\x7f]+"
 _P = 0x9E3779B97F4A7C15 | 1
@@ -107,3 +108,16 @@ def gram_sets(texts: list[str | None], n: int) -> Iterator[np.ndarray]:
                 yield gram_hashes(words[lo:hi], int(hi - lo))
             else:
                 yield np.zeros(0, dtype=np.uint64)
+
+
+def rebatched(batches: Iterator[pa.RecordBatch], size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """Small batches joined into ones of about ``size`` bytes."""
+    held, n = [], 0
+    for b in batches:
+        held.append(b)
+        n += b.nbytes
+        if n >= size:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held, n = [], 0
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()

@@ -84,18 +84,7 @@ def repeated_anchors(docs: DataFrame, base: int) -> DataFrame:
 def _rebatched(docs: DataFrame, run, schema: str) -> DataFrame:
     """mapInArrow of many small batches, joined into larger ones."""
 
-    def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, n = [], 0
-        for b in run(batches):
-            held.append(b)
-            n += b.nbytes
-            if n >= 4 << 20:
-                yield from pa.Table.from_batches(held).combine_chunks().to_batches()
-                held, n = [], 0
-        if held:
-            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
-
-    return docs.mapInArrow(joined, schema)
+    return docs.mapInArrow(lambda batches: grams.rebatched(run(batches)), schema)
 
 
 def bitmap(anchors: DataFrame, max_bits: int) -> np.ndarray:
