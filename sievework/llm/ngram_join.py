@@ -9,9 +9,10 @@ similarity of at least ``t`` are found, exactly:
   light sets (fewer than ``boundary`` grams) that are similar share a pair of grams
   within their first s - ceil(t s) + 2, so light sets enumerate the 2-subsets of
   that prefix. Pairs with a heavy set share a gram within their first
-  s - ceil(t s) + 1, so heavy sets, and the light ones large enough to be similar
-  to one, have inverted lists of that prefix, which are scanned with length and
-  position bounds.
+  s - ceil(t s) + 1, and at least k within their first s - ceil(t s) + k. Heavy sets, and
+  the light ones large enough to be similar to one, have inverted lists of that
+  prefix with k = ``lead`` s; the lists are scanned with length and position bounds,
+  and a pair is a candidate if k of them have both.
 * The boundary minimises the postings plus the expected scans, from the counts of
   sets by size and of the list entries that their prefixes meet.
 * Candidates are verified on the whole sets, which are sent once to each group of
@@ -42,8 +43,12 @@ from sievework.llm import grams
 from sievework.shared import stored, table
 
 _SMALL = 65
-_FLUSH = 1 << 21
+_FLUSH = 1 << 20
+_PAIRS = 1 << 19
+_SHARED = 64  # count from which a gram's list goes to the reducers for frequent grams
+_SLICE = 512  # texts that are Python strings at a time
 _HOT_BLOCK = 1 << 21
+_LIGHT = 1 << 20  # a 2-subset in common is enough
 _DOC, _HOT, _SIZE, _BLOCKS = range(4)
 
 
@@ -53,9 +58,10 @@ class JoinParams:
 
     n: int = 3
     t: float = 0.6
-    hot_min: int = 8
-    hot_max: int = 1 << 19
+    hot_min: int = 2
+    hot_max: int = 1 << 21
     scan_cost: float = 0.25
+    lead: float = 0.04
     exact_filter: int = 2_000_000
 
     def __post_init__(self) -> None:
@@ -66,6 +72,13 @@ class JoinParams:
         """Grams that a set of s shares with any similar one."""
         return math.ceil(self.t * s - 1e-9)
 
+    def common(self, s: int) -> int:
+        """Grams that a set of s shares with any similar one of its size or larger within their prefixes."""
+        return max(1, int(self.lead * s))
+
+    def prefix(self, s: int) -> int:
+        return s - self.least(s) + self.common(s)
+
 
 def signature(s: np.ndarray) -> int:
     """64-bit hash of a set of grams; with the size it stands for the set."""
@@ -74,7 +87,8 @@ def signature(s: np.ndarray) -> int:
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list]]:
     for b in batches:
-        yield b.column(0).to_pylist(), b.column(1).to_pylist()
+        for lo in range(0, b.num_rows, _SLICE):
+            yield b.column(0).slice(lo, _SLICE).to_pylist(), b.column(1).slice(lo, _SLICE).to_pylist()
 
 
 def _rows(**columns: np.ndarray) -> pa.RecordBatch:
@@ -101,7 +115,7 @@ def survey(docs: DataFrame, p: JoinParams) -> DataFrame:
                     if len(often_g):
                         own = np.where(often_g[at] == s, often_n[at], 1)
                     own.sort()
-                    sizes[len(s)] += 1, float((own[: len(s) - p.least(len(s)) + 1] - 1).sum())
+                    sizes[len(s)] += 1, float((own[: p.prefix(len(s))] - 1).sum())
             hot = often_n >= p.hot_min
             held.clear()
             n_held, n_blocks = 0, n_blocks + 1
@@ -138,7 +152,7 @@ def boundary(p: JoinParams, sizes: dict[int, tuple[int, int]], blocks: int) -> i
         return sizes[s][0] * e * (e - 1) / 2
 
     def lists(s: int) -> float:
-        return sizes[s][0] * (s - p.least(s) + 1)
+        return sizes[s][0] * p.prefix(s)
 
     def cost(x: int) -> float:
         heavy = sum(lists(s) + p.scan_cost * blocks * sizes[s][1] for s in sizes if s >= x)
@@ -147,13 +161,14 @@ def boundary(p: JoinParams, sizes: dict[int, tuple[int, int]], blocks: int) -> i
     return min(range(2, _SMALL + 1), key=lambda x: (cost(x), x))
 
 
-def ordered(s: np.ndarray, hot: np.ndarray, hot_count: np.ndarray) -> np.ndarray:
-    """A sorted set in the global order: grams that aren't frequent by hash, then the others by count and hash."""
+def ordered(s: np.ndarray, hot: np.ndarray, hot_count: np.ndarray) -> tuple[np.ndarray, int]:
+    """A sorted set in the global order: grams that aren't frequent by hash, then the others by count and hash; and how many have a count under _SHARED."""
     if not len(hot):
-        return s
+        return s, len(s)
     at = np.minimum(np.searchsorted(hot, s), len(hot) - 1)
     rank = np.where(hot[at] == s, hot_count[at], 0)
-    return s[np.argsort(rank, kind="stable")]
+    o = np.argsort(rank, kind="stable")
+    return s[o], int(np.searchsorted(rank[o], _SHARED))
 
 
 def reducers(spark: SparkSession) -> list[int]:
@@ -170,7 +185,7 @@ def postings(docs: DataFrame, p: JoinParams, hot: tuple[np.ndarray, np.ndarray],
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys: list[np.ndarray] = []
-        meta: list[tuple[int, int, int, int]] = []
+        meta: list[tuple[int, int, int, int, int]] = []
         held = 0
         seen: set = set()
 
@@ -182,10 +197,12 @@ def postings(docs: DataFrame, p: JoinParams, hot: tuple[np.ndarray, np.ndarray],
             sig, size = np.repeat(m[:, 0], length), np.repeat(m[:, 1], length).astype(np.int32)
             begin = np.cumsum(length) - length
             pos = (np.arange(len(key)) - np.repeat(begin, length)).astype(np.int32)
+            frequent = pos >= np.repeat(m[:, 4], length)
             pos[np.repeat(m[:, 3], length) == 1] = -1
             keys.clear(), meta.clear()
             held = 0
-            part = (key >> np.uint64(17)) % np.uint64(len(targets))
+            # copies of one text meet in the lists of many frequent grams: on a sixteenth of the reducers, most of their pairs are combined before they travel
+            part = (key >> np.uint64(17)) % np.where(frequent, np.uint64(max(1, len(targets) // 16)), np.uint64(len(targets)))
             order = np.argsort(part.astype(np.uint16 if len(targets) < 65536 else np.uint64), kind="stable")
             cuts = np.searchsorted(part[order], np.arange(len(targets) + 1, dtype=np.uint64))
             for i in range(len(targets)):
@@ -204,18 +221,18 @@ def postings(docs: DataFrame, p: JoinParams, hot: tuple[np.ndarray, np.ndarray],
                 if len(seen) > 200_000:
                     seen.clear()
                 seen.add((sig, n))
-                o = ordered(s, *hot)
+                o, rare = ordered(s, *hot)
                 if n < heavy_from:
                     e = o[: min(n, n - p.least(n) + 2)]
                     i, j = np.triu_indices(len(e), 1)
                     k = grams.mix(np.minimum(e[i], e[j]) * np.uint64(0x9FB21C651E98DF25) + np.maximum(e[i], e[j]))
                     keys.append(k)
-                    meta.append((sig, n, len(k), 1))
+                    meta.append((sig, n, len(k), 1, len(k)))
                     held += len(k)
                 if n >= border:
-                    k = o[: n - p.least(n) + 1]
+                    k = o[: p.prefix(n)]
                     keys.append(k)
-                    meta.append((sig, n, len(k), 0))
+                    meta.append((sig, n, len(k), 0, rare))
                     held += len(k)
                 if held >= _FLUSH:
                     yield from flush()
@@ -226,7 +243,7 @@ def postings(docs: DataFrame, p: JoinParams, hot: tuple[np.ndarray, np.ndarray],
 
 
 def _scan(key: np.ndarray, sig: np.ndarray, size: np.ndarray, pos: np.ndarray, t: float, heavy_from: int) -> Iterator[tuple[np.ndarray, ...]]:
-    """Candidate pairs of the postings of whole lists: (key, signature and size of either)."""
+    """Pairs in the postings of whole lists: (signature and size of either, what it counts)."""
     order = np.argsort(key, kind="stable")
     k = key[order]
     new = np.concatenate(([True], k[1:] != k[:-1]))
@@ -254,15 +271,16 @@ def _scan(key: np.ndarray, sig: np.ndarray, size: np.ndarray, pos: np.ndarray, t
         near = size[i] >= t * size[j] - 1e-9  # sizes ascend within a list
         i, j = i[near], j[near]
         need = np.ceil(t / (1 + t) * (size[i] + size[j].astype(np.int64)) - 1e-9)
-        ok = ~kind[i] | ((size[j] >= heavy_from) & (np.minimum(size[i] - pos[i], size[j] - pos[j]) >= need))
+        most = np.minimum(pos[i], pos[j]) + np.minimum(size[i] - pos[i], size[j] - pos[j])
+        ok = ~kind[i] | ((size[j] >= heavy_from) & (most >= need))
         a, b = i[ok], j[ok]
         if len(a):
-            yield key[a], sig[a], size[a], sig[b], size[b]
+            yield sig[a], size[a], sig[b], size[b], np.where(kind[a], 1, _LIGHT)
 
 
 def candidates(posted: DataFrame, p: JoinParams, heavy_from: int) -> DataFrame:
-    """Pairs of sets that share a key, once for each task that sees them: (ia, sa, ib, sb, key)."""
-    names = ["ia", "sa", "ib", "sb", "key"]
+    """Pairs of sets with enough keys in common: (ia, sa, ib, sb)."""
+    names = ["ia", "sa", "ib", "sb", "n"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pid, parts = None, ([], [], [], [])
@@ -275,19 +293,20 @@ def candidates(posted: DataFrame, p: JoinParams, heavy_from: int) -> DataFrame:
             n = 0
 
             def emit() -> pa.RecordBatch:
-                k, ia, sa, ib, sb = (np.concatenate(c) for c in zip(*out))
+                ia, sa, ib, sb, n_keys = (np.concatenate(c) for c in zip(*out))
                 swap = (ib < ia) | ((ib == ia) & (sb < sa))
                 ia, ib, sa, sb = np.where(swap, ib, ia), np.where(swap, ia, ib), np.where(swap, sb, sa), np.where(swap, sa, sb)
-                o = np.lexsort((k, sb, ib, sa, ia))
-                k, ia, sa, ib, sb = k[o], ia[o], sa[o], ib[o], sb[o]
+                o = np.lexsort((sb, ib, sa, ia))
+                ia, sa, ib, sb, n_keys = ia[o], sa[o], ib[o], sb[o], n_keys[o]
                 one = np.concatenate(([True], (ia[1:] != ia[:-1]) | (ib[1:] != ib[:-1]) | (sa[1:] != sa[:-1]) | (sb[1:] != sb[:-1])))
                 out.clear()
-                return pa.RecordBatch.from_arrays([pa.array(x[one]) for x in (ia, sa, ib, sb, k.view(np.int64))], names=names)
+                n_keys = np.add.reduceat(n_keys, np.flatnonzero(one))
+                return pa.RecordBatch.from_arrays([*(pa.array(x[one]) for x in (ia, sa, ib, sb)), pa.array(n_keys.astype(np.int32))], names=names)
 
             for c in _scan(key, sig, size, pos, p.t, heavy_from):
                 out.append(c)
                 n += len(c[0])
-                if n >= _FLUSH:
+                if n >= _PAIRS:
                     yield emit()
                     n = 0
             if out:
@@ -304,7 +323,9 @@ def candidates(posted: DataFrame, p: JoinParams, heavy_from: int) -> DataFrame:
             yield from close()
 
     n = int(posted.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return posted.repartition(n, "pid").sortWithinPartitions("pid").mapInArrow(run, "ia long, sa int, ib long, sb int, key long")
+    met = posted.repartition(n, "pid").sortWithinPartitions("pid").mapInArrow(run, "ia long, sa int, ib long, sb int, n int")
+    enough = F.greatest(F.lit(1), F.floor(F.lit(p.lead) * F.least("sa", "sb")))
+    return met.groupBy("ia", "sa", "ib", "sb").agg(F.sum("n").alias("n")).where(F.col("n") >= enough).drop("n")
 
 
 def _verify(own: dict, partners: dict, t: float, forest: bool) -> list[tuple]:
@@ -341,7 +362,7 @@ def _verify(own: dict, partners: dict, t: float, forest: bool) -> list[tuple]:
 
 @dataclass
 class Join:
-    """``sets``: (doc_id, sig, size) of all documents with words; ``pairs``: similar classes (ia, sa, ib, sb, shared)."""
+    """``sets``: (doc_id, sig, size) of all documents with words; ``pairs``: similar documents of different sets (x, y, jaccard), or with ``forest`` the least of the documents of either set."""
 
     sets: DataFrame
     pairs: DataFrame
@@ -357,66 +378,73 @@ def similar(docs: DataFrame, p: JoinParams = JoinParams(), forest: bool = False)
     hot_rows = found.where(F.col("kind") == _HOT).groupBy("a").agg(F.sum("b").alias("n")).orderBy(F.desc("n"), "a").limit(p.hot_max).toArrow()
     hot, count = hot_rows["a"].to_numpy().view(np.uint64), hot_rows["n"].to_numpy()
     o = np.argsort(hot)
-    hot, count = hot[o], count[o]
+    hot, count = hot[o], np.minimum(count[o], 1 << 30).astype(np.int32)
     by_size = {r["a"]: (r["n"], r["c"]) for r in found.where(F.col("kind") == _SIZE).groupBy("a").agg(F.sum("b").alias("n"), F.sum("c").alias("c")).collect()}
     n_blocks = found.where(F.col("kind") == _BLOCKS).agg(F.sum("a")).first()[0] or 0
     heavy_from = boundary(p, by_size, n_blocks)
 
     posted = postings(docs, p, (hot, count), heavy_from, reducers(spark))
-    cand = stored(candidates(posted, p, heavy_from).groupBy("ia", "sa", "ib", "sb").agg(F.min("key").alias("key")), "ngram-candidates")
-
-    a = cand.groupBy("key", F.col("ia").alias("sig"), F.col("sa").alias("size")).agg(F.collect_list(F.struct("ib", "sb")).alias("partners"))
-    b = cand.select("key", F.col("ib").alias("sig"), F.col("sb").alias("size")).distinct().withColumn("partners", F.array().cast("array<struct<ib:bigint,sb:int>>"))
+    cand = stored(candidates(posted, p, heavy_from), "ngram-candidates")
+
+    # a set's label is the least signature among itself and its candidates: copies of one text share it, and are checked together
+    a, b = F.struct(F.col("ia").alias("sig"), F.col("sa").alias("size")), F.struct(F.col("ib").alias("sig"), F.col("sb").alias("size"))
+    label = cand.select(F.explode(F.array(a, b)).alias("x"), F.least("ia", "ib").alias("l")).groupBy("x.sig", "x.size").agg(F.min("l").alias("label"))
+    keyed_a = cand.join(label.select(F.col("sig").alias("ia"), F.col("size").alias("sa"), "label"), ["ia", "sa"])
+    a = keyed_a.groupBy(F.col("label").alias("key"), F.col("ia").alias("sig"), F.col("sa").alias("size")).agg(F.collect_list(F.struct("ib", "sb")).alias("partners"))
+    b = keyed_a.select(F.col("label").alias("key"), F.col("ib").alias("sig"), F.col("sb").alias("size")).distinct().withColumn("partners", F.array().cast("array<struct<ib:bigint,sb:int>>"))
     need = a.unionByName(b)
     wanted = cand.select(F.col("ia").alias("sig"), F.col("sa").alias("size")).union(cand.select("ib", "sb")).distinct()
-    reps = stored(wanted.join(sets.groupBy("sig", "size").agg(F.min("doc_id").alias("doc_id")), ["sig", "size"]), "ngram-wanted")
-    whole = _whole_sets(docs, reps, p)
-    keyed = need.join(whole, ["sig", "size"]).select("key", "sig", "size", "partners", "grams")
+    ids = F.array(F.min("doc_id")) if forest else F.array_sort(F.collect_set("doc_id"))
+    reps = stored(sets.groupBy("sig", "size").agg(ids.alias("ids")).join(wanted, ["sig", "size"], "left_semi"), "ngram-wanted")
+    whole = _whole_sets(docs, reps.select(F.col("ids")[0].alias("doc_id")), p)
+    keyed = need.join(reps, ["sig", "size"]).join(whole, ["sig", "size"]).select("key", "sig", "size", "partners", "grams", "ids")
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, own, partners = None, {}, {}
+        key, own, ids, partners = None, {}, {}, {}
 
         def close() -> pa.RecordBatch:
             rows = _verify(own, {a: b for a, b in partners.items() if b}, p.t, forest)
-            own.clear(), partners.clear()
-            cols = list(zip(*rows)) or [()] * 5
-            kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32())
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=["ia", "sa", "ib", "sb", "shared"])
+            x = [np.repeat(ids[ia, sa], len(ids[ib, sb])) for ia, sa, ib, sb, _ in rows]
+            y = [np.tile(ids[ib, sb], len(ids[ia, sa])) for ia, sa, ib, sb, _ in rows]
+            j = [np.full(len(v), k / (r[1] + r[3] - k)) for v, r in zip(x, rows) for k in (r[4],)]
+            own.clear(), ids.clear(), partners.clear()
+            none = [np.zeros(0)]
+            return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x or none).astype(np.int64)), pa.array(np.concatenate(y or none).astype(np.int64)), pa.array(np.concatenate(j or none))], names=["x", "y", "jaccard"])
 
         for batch in batches:
-            for k, sig, size, ps, g in zip(*(batch.column(c).to_pylist() for c in range(4)), batch.column(4)):
+            for k, sig, size, ps, g, docs_ in zip(*(batch.column(c).to_pylist() for c in range(4)), batch.column(4), batch.column(5).to_pylist()):
                 if key is not None and k != key:
                     yield close()
                 key = k
                 own[sig, size] = np.frombuffer(g.as_py(), dtype=np.uint64)
+                ids[sig, size] = np.array(docs_)
                 partners.setdefault((sig, size), []).extend((x["ib"], x["sb"]) for x in ps)
         if key is not None:
             yield close()
 
-    pairs = keyed.repartition("key").sortWithinPartitions("key").mapInArrow(check, "ia long, sa int, ib long, sb int, shared int")
+    pairs = keyed.repartition("key").sortWithinPartitions("key").mapInArrow(lambda batches: grams.rebatched(check(batches)), "x long, y long, jaccard double")
     return Join(sets, stored(pairs, "ngram-pairs"), heavy_from)
 
 
 def _whole_sets(docs: DataFrame, reps: DataFrame, p: JoinParams) -> DataFrame:
     """(sig, size, grams) of the documents of ``reps``. Up to ``exact_filter`` ids they are sent to the scan; beyond, joined by a shuffle."""
+    ids = None
+    some = docs
     if reps.count() <= p.exact_filter:
         ids = np.sort(reps.select("doc_id").toArrow()["doc_id"].to_numpy())
-
-        def chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for b in batches:
-                at = np.minimum(np.searchsorted(ids, b.column(0).to_numpy(zero_copy_only=False)), max(len(ids) - 1, 0))
-                yield b.filter(pa.array(ids[at] == b.column(0).to_numpy(zero_copy_only=False))) if len(ids) else b.slice(0, 0)
-
-        some = docs.mapInArrow(chosen, "doc_id long, text string")
     else:
         some = docs.join(reps.select("doc_id"), "doc_id", "left_semi")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, texts in _texts(batches):
-            for i, s in zip(ids, grams.gram_sets(texts, p.n)):
-                yield pa.RecordBatch.from_arrays([pa.array([i]), pa.array([signature(s)]), pa.array([len(s)], pa.int32()), pa.array([s.tobytes()], pa.binary())], names=["doc_id", "sig", "size", "grams"])
-
-    got = some.mapInArrow(run, "doc_id long, sig long, size int, grams binary")
+        for b in batches:
+            if ids is not None:
+                mine = b.column(0).to_numpy(zero_copy_only=False)
+                b = b.filter(pa.array(np.isin(mine, ids)))
+            for docs_, texts in _texts([b]):
+                for i, s in zip(docs_, grams.gram_sets(texts, p.n)):
+                    yield pa.RecordBatch.from_arrays([pa.array([i]), pa.array([signature(s)]), pa.array([len(s)], pa.int32()), pa.array([s.tobytes()], pa.binary())], names=["doc_id", "sig", "size", "grams"])
+
+    got = some.mapInArrow(lambda batches: grams.rebatched(run(batches)), "doc_id long, sig long, size int, grams binary")
     return got.groupBy("sig", "size").agg(F.first("grams").alias("grams"))
 
 
@@ -424,11 +452,7 @@ def document_pairs(j: Join) -> DataFrame:
     """(id_a, id_b, jaccard) of all similar documents, id_a < id_b."""
     ids = j.sets.groupBy("sig", "size").agg(F.collect_set("doc_id").alias("ids"))
     same = ids.where(F.size("ids") > 1).select(F.explode("ids").alias("id_a"), "ids").select("id_a", F.explode("ids").alias("id_b"), F.lit(1.0).alias("jaccard")).where("id_a < id_b")
-    a = ids.select(F.col("sig").alias("ia"), F.col("size").alias("sa"), F.col("ids").alias("xs"))
-    b = ids.select(F.col("sig").alias("ib"), F.col("size").alias("sb"), F.col("ids").alias("ys"))
-    jaccard = F.round(F.col("shared") / (F.col("sa") + F.col("sb") - F.col("shared")), 6).alias("jaccard")
-    cross = j.pairs.join(a, ["ia", "sa"]).join(b, ["ib", "sb"]).select(F.explode("xs").alias("x"), "ys", jaccard).select("x", F.explode("ys").alias("y"), "jaccard")
-    cross = cross.where("x <> y").select(F.least("x", "y").alias("id_a"), F.greatest("x", "y").alias("id_b"), "jaccard")
+    cross = j.pairs.where("x <> y").select(F.least("x", "y").alias("id_a"), F.greatest("x", "y").alias("id_b"), F.round("jaccard", 6).alias("jaccard"))
     return same.unionByName(cross)
 
 
@@ -453,9 +477,7 @@ def dropped(docs: DataFrame, p: JoinParams = JoinParams()) -> DataFrame:
     """doc_id of every document that is not the least of its group; groups are what similar pairs connect."""
     j = similar(docs, p, forest=True)
     rep = j.sets.groupBy("sig", "size").agg(F.min("doc_id").alias("rep"))
-    a = rep.select(F.col("sig").alias("ia"), F.col("size").alias("sa"), F.col("rep").alias("x"))
-    b = rep.select(F.col("sig").alias("ib"), F.col("size").alias("sb"), F.col("rep").alias("y"))
-    root = components(j.pairs.join(a, ["ia", "sa"]).join(b, ["ib", "sb"]).select("x", "y"))
+    root = components(j.pairs.select("x", "y"))
     copies = j.sets.join(rep, ["sig", "size"]).where("doc_id > rep").select("doc_id")
     return copies.union(root.where("v > root").select("v")).distinct()
 
