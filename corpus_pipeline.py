@@ -7,6 +7,7 @@ returns a DataFrame; all but the last return the columns of ``documents``.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from sievework.llm import mixing, ngram_join, packing, pii, toxicity
 from sievework.shared import stored, table
@@ -27,7 +28,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def pseudonymise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data gets pseudonyms of its own format; n_chars follows the text."""
-    return pii.pseudonymise(docs, "corpus-key-1")
+    return pii.pseudonymise(docs, "corpus-key-1").withColumn("n_chars", F.length("text").cast("long"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
