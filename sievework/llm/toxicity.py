@@ -128,10 +128,12 @@ def labelled(docs: DataFrame, labels: DataFrame, max_train_rows: int, seed: int
     """(text, y) of at most ``max_train_rows`` labelled documents, those least by a seeded hash."""
     y = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("y"))
     y = y.orderBy(F.xxhash64(F.lit(seed), "doc_id"), "doc_id").limit(max_train_rows)
+    if max_train_rows <= 1_000_000:
+        y = F.broadcast(y)  # the limit bounds its size, so texts aren't shuffled for the join
     return docs.where(F.col("text").isNotNull()).select("doc_id", "text").join(y, "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.max("y").alias("y"))
 
 
-def train(docs: DataFrame, labels: DataFrame, terms: dict[str, tuple[str, ...]] = IDENTITY_TERMS, max_train_rows: int = 12_000, vocabulary: int = 1024, min_df: int = 5, min_chi: float = 20.0, l2: float = 1e-4, cf: float = 1.0) -> ToxicityModel:
+def train(docs: DataFrame, labels: DataFrame, terms: dict[str, tuple[str, ...]] = IDENTITY_TERMS, max_train_rows: int = 24_000, vocabulary: int = 4096, min_df: int = 3, min_chi: float = 10.0, l2: float = 1e-4, cf: float = 1.0) -> ToxicityModel:
     """Fit on labelled documents. Only word counts by class and vocabulary indices leave the executors."""
     rows = labelled(docs, labels, max_train_rows)
 
