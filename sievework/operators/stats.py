@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sievework.operators.sequence import sum_before
+
 POINTS = {"min": 0.0, "p05": 0.05, "p25": 0.25, "median": 0.5, "p75": 0.75, "p95": 0.95, "p99": 0.99, "max": 1.0}
 
 
@@ -89,5 +91,4 @@ def projection(done: Column, total: Column, rate: Column, spent: Column) -> Colu
 
 def within_budget(df: DataFrame, order: list[str], cost: str, budget: float) -> DataFrame:
     """Rows in order until the budget is spent, with the one that crosses it."""
-    before = F.coalesce(F.sum(cost).over(Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
-    return df.withColumn("_b", before).where(F.col("_b") < F.lit(budget)).drop("_b")
+    return sum_before(df, order, cost, "_b").where(F.col("_b") < F.lit(budget)).drop("_b")

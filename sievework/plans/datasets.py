@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sievework.functions import text as T
@@ -10,6 +10,7 @@ from sievework.operators import records as M
 from sievework.operators import relational as R
 from sievework.operators import sampling as P
 from sievework.operators import stats as S
+from sievework.operators.sequence import row_numbers
 from sievework.plans.corpus import chunked
 from sievework.plans.register import query
 from sievework.shared import table
@@ -38,7 +39,7 @@ def pairs(spark: SparkSession, d: str) -> DataFrame:
     a = c.where("role = 'assistant' AND text <> ''").select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("answer"))
     kinds = F.array(*map(F.lit, (*M.QUESTION_TYPES, "opinion")))
     p = u.join(a, ["conv_id", "turn"])
-    p = p.withColumn("row_index", F.row_number().over(Window.orderBy("conv_id", "turn")) - 1)
+    p = row_numbers(p, ["conv_id", "turn"])
     p = p.withColumn("question_type", F.element_at(kinds, ((F.col("conv_id") + F.col("turn")) % 6 + 1).cast("int"))).withColumn("pair_id", F.concat_ws(":", F.col("conv_id").cast("string"), F.col("turn").cast("string")))
     return p.withColumn("context_mode", M.context_mode(F.col("pair_id")))
 

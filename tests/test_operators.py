@@ -19,6 +19,7 @@ from sievework.operators import ocr as O
 from sievework.operators import records as M
 from sievework.operators import relational as R
 from sievework.operators import sampling as P
+from sievework.operators import sequence
 from sievework.operators import stats as S
 from sievework.profiles import ChunkSizes
 from sievework.sources import boundary, files
@@ -291,3 +292,13 @@ def test_boundaries(spark):
     assert [r[0]["status"] for r in df.select(boundary.stand_in_page(F.col("t"))).collect()] == ["ok", "blank"]
     assert boundary.external(df, lambda b: b.assign(t=b["t"] * 2), "i int, t string").collect()[0]["t"] == "xx"
     assert boundary.token_counter() is T.token_estimate
+
+
+def test_row_numbers_and_sums_of_a_whole_table(spark):
+    df = spark.createDataFrame([((i * 37) % 101, i % 5) for i in range(101)], "k int, v int").repartition(7)
+    rows = sorted((r["k"], r["v"]) for r in df.collect())
+    got = sequence.row_numbers(df, ["k"]).collect()
+    assert sorted((r["k"], r["row_index"]) for r in got) == [(k, i) for i, (k, _) in enumerate(rows)]
+    got = {r["k"]: r["before"] for r in sequence.sum_before(df, ["k"], "v").collect()}
+    assert all(got[k] == sum(v for _, v in rows[:i]) for i, (k, _) in enumerate(rows))
+    assert sequence.row_numbers(df.limit(0), ["k"]).count() == 0
