@@ -15,7 +15,7 @@ import pyarrow as pa
 WORD_SQL = r"[^\x00-\x2f\x3a-\x60\x7b-\x7f]+"
 _P = 0x9E3779B97F4A7C15 | 1
 _P_INV = pow(_P, -1, 1 << 64)
-_BLOCK = 1 << 20
+_BLOCK = 1 << 18
 
 _IS_WORD = np.zeros(256, dtype=np.uint8)
 _IS_WORD[48:58] = 1

@@ -43,7 +43,8 @@ from sievework.llm import grams
 from sievework.shared import stored, table
 
 _SMALL = 65
-_FLUSH = 1 << 20
+_FLUSH = 1 << 19
+_PARTS = 4  # a reducer's lists are scanned in so many parts, to bound its memory
 _PAIRS = 1 << 19
 _SHARED = 64  # count from which a gram's list goes to the reducers for frequent grams
 _SLICE = 512  # texts that are Python strings at a time
@@ -244,6 +245,8 @@ def postings(docs: DataFrame, p: JoinParams, hot: tuple[np.ndarray, np.ndarray],
 
 def _scan(key: np.ndarray, sig: np.ndarray, size: np.ndarray, pos: np.ndarray, t: float, heavy_from: int) -> Iterator[tuple[np.ndarray, ...]]:
     """Pairs in the postings of whole lists: (signature and size of either, what it counts)."""
+    if not len(key):
+        return
     order = np.argsort(key, kind="stable")
     k = key[order]
     new = np.concatenate(([True], k[1:] != k[:-1]))
@@ -303,12 +306,14 @@ def candidates(posted: DataFrame, p: JoinParams, heavy_from: int) -> DataFrame:
                 n_keys = np.add.reduceat(n_keys, np.flatnonzero(one))
                 return pa.RecordBatch.from_arrays([*(pa.array(x[one]) for x in (ia, sa, ib, sb)), pa.array(n_keys.astype(np.int32))], names=names)
 
-            for c in _scan(key, sig, size, pos, p.t, heavy_from):
-                out.append(c)
-                n += len(c[0])
-                if n >= _PAIRS:
-                    yield emit()
-                    n = 0
+            for part in range(_PARTS):
+                mine = (key >> np.uint64(40)) % np.uint64(_PARTS) == part
+                for c in _scan(key[mine], sig[mine], size[mine], pos[mine], p.t, heavy_from):
+                    out.append(c)
+                    n += len(c[0])
+                    if n >= _PAIRS:
+                        yield emit()
+                        n = 0
             if out:
                 yield emit()
 
