@@ -163,3 +163,14 @@ def test_pivots_eliminate_on_clustered_vectors():
     s = topk._Search(np.arange(len(x)), x, d, 5, 256)
     s.visit(np.arange(len(x)), x, d)
     assert s.evaluated < 0.2 * len(x) ** 2
+
+
+def test_very_long_texts(spark):
+    r = random.Random(9)
+    w = [f"x{r.randrange(5000)}" for _ in range(120_000)]
+    copy = [v if i % 40 else "edited" for i, v in enumerate(w)]
+    other = [f"y{r.randrange(5000)}" for _ in range(60_000)]
+    df = spark.createDataFrame([(1, " ".join(w)), (2, " ".join(copy)), (3, " ".join(other)), (4, "x1")], "doc_id long, text string")
+    assert [(x["id_a"], x["id_b"]) for x in nj.document_pairs(nj.similar(df)).collect()] == [(1, 2)]
+    spans = substrings.repeated_spans(df.where("doc_id <> 2").union(df.where("doc_id = 1").selectExpr("9", "text")), 50).collect()
+    assert sorted((s["doc_id"], s["start_word"], s["end_word"], s["longest"]) for s in spans) == [(1, 0, 120_000, 102_400), (9, 0, 120_000, 102_400)]
