@@ -13,7 +13,7 @@ from sievework.operators import stats as S
 from sievework.operators.sequence import row_numbers
 from sievework.plans.corpus import chunked
 from sievework.plans.register import query
-from sievework.shared import table
+from sievework.shared import stored, table
 from sievework.sources.boundary import stand_in_pairs
 
 _H01 = "('0x' || substr(sha1('{salt}|' || {key}::VARCHAR), 1, 8))::BIGINT / 4294967296.0::DOUBLE"
@@ -286,7 +286,7 @@ def unique_file_names(spark: SparkSession, d: str) -> DataFrame:
 @query("generated_records")
 def generated_records(spark: SparkSession, d: str) -> DataFrame:
     """Chunks through an offline generator, its JSON parsed, first answers kept, joined with their chunks and counted."""
-    c = chunked(spark, d)
+    c = stored(chunked(spark, d).select("chunk_id", "document_id", "source", "text"), "chunks")  # read three times below
     made = stand_in_pairs(F.col("text"), F.col("chunk_id"))
     response = F.when(F.length("text") % 11 == 0, "[]").when(F.length("text") % 13 == 0, "no json").otherwise(F.concat(F.lit("```json\n"), made, F.lit("\n```")))
     g = c.select("chunk_id", "document_id", "source", M.parse_response(response).alias("r")).select("chunk_id", "document_id", "source", "r.status", "r.pairs")
