@@ -51,7 +51,7 @@ def dialogue_pairs(spark: SparkSession, d: str) -> DataFrame:
 
 def _compiled(spark: SparkSession, d: str) -> DataFrame:
     """Pairs joined with the documents they are about, as records are compiled."""
-    docs = table(spark, d, "documents").select(F.concat(F.lit("documents-"), F.col("doc_id").cast("string"), F.lit("-000")).alias("chunk_id"), T.document_id(F.col("source"), F.col("doc_id").cast("string")).alias("document_id"), "source", F.substring("text", 1, 1200).alias("text"))
+    docs = table(spark, d, "documents").select(F.concat(F.lit("documents-"), F.col("doc_id").cast("string"), F.lit("-000")).alias("chunk_id"), T.document_id(F.col("source"), F.col("doc_id").cast("string")).alias("document_id"), "source", "text")
     p = pairs(spark, d).withColumn("chunk_id", F.concat(F.lit("documents-"), F.col("conv_id").cast("string"), F.lit("-000")))
     joined = R.with_context(p, docs, "drop", ("document_id", "source")).withColumn("reasoning", F.when(F.col("turn") % 2 == 0, F.lit("")))
     return joined
@@ -87,7 +87,7 @@ def context_split(spark: SparkSession, d: str) -> DataFrame:
 def restore_context(spark: SparkSession, d: str) -> DataFrame:
     """All records with their context, whether they were compiled with it or not."""
     c = _compiled(spark, d)
-    texts = table(spark, d, "documents").select(F.concat(F.lit("documents-"), F.col("doc_id").cast("string"), F.lit("-000")).alias("chunk_id"), F.substring("text", 1, 1200).alias("text"))
+    texts = table(spark, d, "documents").select(F.concat(F.lit("documents-"), F.col("doc_id").cast("string"), F.lit("-000")).alias("chunk_id"), "text")
     return M.flatten(M.restore(M.build(c), texts)).select("chunk_id", "user", "context_mode")
 
 
@@ -131,7 +131,7 @@ SELECT row_index, array_to_string(list_filter([{", ".join(f"CASE WHEN f{i + 1} T
 
 
 def _flagged(spark: SparkSession, d: str) -> DataFrame:
-    docs = table(spark, d, "documents").select((F.col("doc_id") / 2).cast("decimal(30,1)").alias("half"), F.substring("text", 1, 1200).alias("text"))
+    docs = table(spark, d, "documents").select((F.col("doc_id") / 2).cast("decimal(30,1)").alias("half"), "text")
     docs = docs.where("half = floor(half)").select(F.col("half").cast("long").cast("string").alias("chunk_id"), "text")
     p = pairs(spark, d).withColumn("chunk_id", F.col("conv_id").cast("string"))
     rows = R.first_position(R.with_context(p, docs, "flag"), "question", "row_index").withColumn("model", F.when(F.col("row_index") % 7 == 3, "large").otherwise("small"))
@@ -165,7 +165,7 @@ def flags_vs_labels(spark: SparkSession, d: str) -> DataFrame:
 
 @query("context_left_blank", f"SELECT pair_id, coalesce(substr(d.text, 1, 300), '') AS context FROM ({PAIRS_SQL}) p LEFT JOIN documents d ON d.doc_id = p.conv_id * 3")
 def context_left_blank(spark: SparkSession, d: str) -> DataFrame:
-    docs = table(spark, d, "documents").select(F.col("doc_id").cast("string").alias("chunk_id"), F.substring("text", 1, 300).alias("text"))
+    docs = table(spark, d, "documents").select(F.col("doc_id").cast("string").alias("chunk_id"), "text")
     return R.with_context(pairs(spark, d).withColumn("chunk_id", (F.col("conv_id") * 3).cast("string")), docs, "blank").select("pair_id", "context")
 
 
