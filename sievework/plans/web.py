@@ -11,7 +11,7 @@ from sievework.operators import crawl as W
 from sievework.operators import ocr as O
 from sievework.operators import stats as S
 from sievework.plans.register import query
-from sievework.shared import table
+from sievework.shared import stored, table
 
 _TRACK = ", ".join(f"'{t}'" for t in U.TRACKING)
 
@@ -81,13 +81,13 @@ UNION SELECT regexp_extract(url, '^(https?://[^/?#]+)/', 1), regexp_extract(url,
 SELECT url, min(depth) AS depth FROM b GROUP BY url""",
 )
 def bfs_depth(spark: SparkSession, d: str) -> DataFrame:
-    """Steps from each host to its sections and pages, over links up and down."""
-    u = F.col("url")
-    page, section, host = F.regexp_replace(u, r"[?#].*$", ""), F.regexp_extract(u, r"^(https?://[^/?#]+/[a-z]+)/", 1), F.regexp_extract(u, r"^(https?://[^/?#]+)/", 1)
-    p = table(spark, d, "pages").select(page.alias("page"), section.alias("section"), host.alias("host"))
-    pairs = F.array(*[F.struct(F.col(a).alias("src"), F.col(b).alias("dst")) for a, b in (("page", "section"), ("page", "host"), ("section", "page"), ("host", "section"))])
-    links = p.select(F.inline(pairs)).where("(src <> '' OR dst <> '') AND dst <> ''").distinct()
-    return W.depths(links, p.select(F.col("host").alias("url")), 4)
+    """Steps over the links of the pages from where crawls begin: the first page of each host and pages that no other links to."""
+    scanned = stored(W.scan(table(spark, d, "pages")).select("page_id", "url", "links"), "scan")
+    links = stored(W.edges(scanned), "edges")
+    pages = scanned.where(F.col("url").isNotNull()).groupBy("url").agg(F.min("page_id").alias("page_id"))
+    first = pages.groupBy(U.host(F.col("url"))).agg(F.min_by("url", "page_id").alias("url")).select("url")
+    unlinked = pages.select("url").join(links.where("src <> dst").select(F.col("dst").alias("url")), "url", "left_anti")
+    return W.depths(links, first.union(unlinked))
 
 
 @query("page_scan")
