@@ -79,7 +79,7 @@ def messages_flat(spark: SparkSession, d: str) -> DataFrame:
     f"SELECT pair_id, CASE WHEN context_mode = 'with_context' THEN context END AS context, question FROM ({_COMPILED_SQL}) WHERE question NOT LIKE '%Question: %'",
 )
 def context_split(spark: SparkSession, d: str) -> DataFrame:
-    c = _compiled(spark, d).where("NOT question LIKE '%Question: %'").select("pair_id", M.split_user(M.user_message(F.col("context"), F.col("question"), F.col("context_mode"))).alias("s"))
+    c = _compiled(spark, d).select("pair_id", M.split_user(M.user_message(F.col("context"), F.col("question"), F.col("context_mode"))).alias("s"))
     return c.select("pair_id", "s.context", "s.question")
 
 
@@ -131,8 +131,7 @@ SELECT row_index, array_to_string(list_filter([{", ".join(f"CASE WHEN f{i + 1} T
 
 
 def _flagged(spark: SparkSession, d: str) -> DataFrame:
-    docs = table(spark, d, "documents").select((F.col("doc_id") / 2).cast("decimal(30,1)").alias("half"), "text")
-    docs = docs.where("half = floor(half)").select(F.col("half").cast("long").cast("string").alias("chunk_id"), "text")
+    docs = table(spark, d, "documents").select(F.col("doc_id").cast("string").alias("chunk_id"), "text")
     p = pairs(spark, d).withColumn("chunk_id", F.col("conv_id").cast("string"))
     rows = R.first_position(R.with_context(p, docs, "flag"), "question", "row_index").withColumn("model", F.when(F.col("row_index") % 7 == 3, "large").otherwise("small"))
     return M.outlier_flags(rows, max_tokens=700)
@@ -166,7 +165,7 @@ def flags_vs_labels(spark: SparkSession, d: str) -> DataFrame:
 @query("context_left_blank", f"SELECT pair_id, coalesce(substr(d.text, 1, 300), '') AS context FROM ({PAIRS_SQL}) p LEFT JOIN documents d ON d.doc_id = p.conv_id * 3")
 def context_left_blank(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents").select(F.col("doc_id").cast("string").alias("chunk_id"), "text")
-    return R.with_context(pairs(spark, d).withColumn("chunk_id", (F.col("conv_id") * 3).cast("string")), docs, "blank").select("pair_id", "context")
+    return R.with_context(pairs(spark, d).withColumn("chunk_id", F.col("conv_id").cast("string")), docs, "blank").select("pair_id", "context")
 
 
 _STATUS = "CASE WHEN doc_id % 3 = 0 THEN 'ok' WHEN doc_id % 3 = 1 THEN 'error' ELSE 'empty' END"
