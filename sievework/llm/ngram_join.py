@@ -2,9 +2,10 @@
 
 Every document is the set of its word n-grams (hashed to 64 bits; a text of fewer
 than n words is one gram of all its words). All pairs of sets with Jaccard
-similarity of at least ``t`` are found, exactly:
+similarity of at least ``t`` are found:
 
-* Equal sets form a class; a class has one signature and takes part once.
+* Equal sets form a class, known by a signature of 99 bits and the size; a class takes
+  part once, however many documents it has.
 * A global order of the grams, frequent ones last, gives each set a prefix. Two
   light sets (fewer than ``boundary`` grams) that are similar share a pair of grams
   within their first s - ceil(t s) + 2, so light sets enumerate the 2-subsets of
@@ -13,19 +14,24 @@ similarity of at least ``t`` are found, exactly:
   the light ones large enough to be similar to one, have inverted lists of that
   prefix with k = ``lead`` s; the lists are scanned with length and position bounds,
   and a pair is a candidate if k of them have both.
-* The boundary minimises the postings plus the expected scans, from the counts of
-  sets by size and of the list entries that their prefixes meet.
-* Candidates are verified on the whole sets, which are sent once to each group of
+* The boundary minimises the postings plus the expected scans over all sizes that
+  occur, from the counts of sets by size and of the list entries that their prefixes meet.
+* Candidates are verified on the whole sets, which are sent once to each block of
   candidates and not once for each pair.
 
+Skew: the list of a gram that ``split`` sets or more have is cut into blocks, and each
+pair of blocks is a list of its own, on any reducer. Candidates are grouped by the least
+signature near them, and a group of more than ``group_pairs`` is cut into pairs of
+blocks likewise. Connected groups are found with aggregates and joins only.
+
 The first pass over the texts gives signatures, counts by size and frequent grams
 (any choice of those is right, as they only set the order; so their number is
-bounded). Postings travel as one binary row for each task and reducer.
+bounded by ``hot_max``). Postings and pairs travel as one binary row for each task and reducer.
 
-Defined results: null and empty texts and texts without words are in no pair; rows
-with a null doc_id take part in none; a doc_id is never paired with itself, so
-repeated rows add nothing; an empty table gives no pairs. Extra columns of any name
-are left alone.
+Defined results: null and empty texts and texts without words are classes of their own
+without links; rows with a null doc_id take no part; rows that repeat a doc_id are one
+document, with the row of least signature among those that have words; an empty table
+gives no rows. Extra columns of any name are left alone.
 """
 
 from __future__ import annotations
@@ -42,14 +48,16 @@ from pyspark.sql import functions as F
 from sievework.llm import grams
 from sievework.shared import stored, table
 
-_SMALL = 65
 _FLUSH = 1 << 19
 _PARTS = 4  # a reducer's lists are scanned in so many parts, to bound its memory
+_SUBS = 4  # so are the pairs that it sums
 _PAIRS = 1 << 19
 _SHARED = 64  # count from which a gram's list goes to the reducers for frequent grams
 _SLICE = 512  # texts that are Python strings at a time
 _HOT_BLOCK = 1 << 21
 _LIGHT = 1 << 20  # a 2-subset in common is enough
+_SIZE_BITS = 28
+_OTHER_SIDE = 1 << 30
 _DOC, _HOT, _SIZE, _BLOCKS = range(4)
 
 
@@ -58,12 +66,13 @@ class JoinParams:
     """``hot_min``: count in a block from which a gram is reported as frequent; ``hot_max``: frequent grams kept for the order."""
 
     n: int = 3
-    t: float = 0.6
+    t: float = 0.51
     hot_min: int = 2
-    hot_max: int = 1 << 21
+    hot_max: int = 1 << 19
     scan_cost: float = 0.25
     lead: float = 0.04
-    exact_filter: int = 2_000_000
+    split: int = 1 << 15
+    group_pairs: int = 1 << 18
 
     def __post_init__(self) -> None:
         if not 0.5 < self.t <= 1:
@@ -81,9 +90,17 @@ class JoinParams:
         return s - self.least(s) + self.common(s)
 
 
-def signature(s: np.ndarray) -> int:
-    """64-bit hash of a set of grams; with the size it stands for the set."""
-    return int(grams.mix(np.array([(s * np.uint64(0xA24BAED4963EE407) ^ (s >> np.uint64(29))).sum(dtype=np.uint64)], dtype=np.uint64)).view(np.int64)[0])
+def signature(s: np.ndarray) -> tuple[int, int]:
+    """(64-bit hash of a set of grams, 35 bits more and the size): what stands for the set."""
+    if not len(s):
+        return 0, 0
+    sums = np.array([(s * np.uint64(0xA24BAED4963EE407) ^ (s >> np.uint64(29))).sum(dtype=np.uint64), ((s ^ (s >> np.uint64(31))) * np.uint64(0x9E6C63D0876A9A47)).sum(dtype=np.uint64)], dtype=np.uint64)
+    h = grams.mix(sums)
+    return int(h[:1].view(np.int64)[0]), (int(h[1]) >> 29) << _SIZE_BITS | len(s)
+
+
+def _sizes(aux: np.ndarray) -> np.ndarray:
+    return aux & ((1 << _SIZE_BITS) - 1)
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list]]:
@@ -96,80 +113,101 @@ def _rows(**columns: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c) for c in columns.values()], names=list(columns))
 
 
+def _edges(*columns: np.ndarray) -> np.ndarray:
+    """True where a row differs from the one before."""
+    new = np.ones(len(columns[0]), dtype=bool)
+    new[1:] = False
+    for c in columns:
+        new[1:] |= c[1:] != c[:-1]
+    return new
+
+
+def size_class(s: np.ndarray) -> np.ndarray:
+    """Sizes up to 256 as they are, above in steps of a sixteenth of their power of two."""
+    step = 1 << np.maximum(np.log2(np.maximum(s, 1)).astype(np.int64) - 4, 0)
+    return np.where(s <= 256, s, s // step * step)
+
+
+def _met(held: list[np.ndarray], p: JoinParams) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(grams, count of each) of a block of sets, and by set (size, other entries in the lists that its prefix meets)."""
+    every = np.concatenate(held)
+    order = np.argsort(every)
+    g = every[order]
+    first = np.flatnonzero(_edges(g))
+    count = np.diff(np.append(first, len(g)))
+    own = np.empty(len(g), dtype=np.uint64)
+    own[order] = np.repeat(count, count)
+    size = np.array([len(s) for s in held])
+    by_set = np.sort(np.repeat(np.arange(len(held), dtype=np.uint64) << np.uint64(32), size) | own) & np.uint64(0xFFFFFFFF)
+    begin = np.cumsum(size) - size
+    sums = np.concatenate(([0], np.cumsum(by_set.astype(np.float64) - 1)))
+    prefix = size - np.ceil(p.t * size - 1e-9).astype(np.int64) + np.maximum(1, (p.lead * size).astype(np.int64))
+    return g[first], count, size, sums[begin + np.minimum(prefix, size)] - sums[begin]
+
+
 def survey(docs: DataFrame, p: JoinParams) -> DataFrame:
     """First pass over (doc_id, text): signatures, frequent grams, counts by size, as rows (kind, a, b, c)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sizes = np.zeros((_SMALL, 2))
+        sizes: dict[int, np.ndarray] = {}
         held: list[np.ndarray] = []
         n_held = n_blocks = 0
 
         def close() -> Iterator[pa.RecordBatch]:
             nonlocal n_held, n_blocks
-            every, count = np.unique(np.concatenate(held), return_counts=True)
-            often = count >= 2
-            often_g, often_n = every[often], count[often]
-            for s in held:
-                if 1 < len(s) < _SMALL:
-                    own = np.ones(len(s))
-                    at = np.minimum(np.searchsorted(often_g, s), max(len(often_g) - 1, 0))
-                    if len(often_g):
-                        own = np.where(often_g[at] == s, often_n[at], 1)
-                    own.sort()
-                    sizes[len(s)] += 1, float((own[: p.prefix(len(s))] - 1).sum())
-            hot = often_n >= p.hot_min
+            g, n, size, met = _met(held, p)
+            cls = size_class(size)
+            for c in np.unique(cls):
+                sizes[int(c)] = sizes.get(int(c), np.zeros(2)) + (np.sum(cls == c), met[cls == c].sum())
+            hot = n >= p.hot_min
             held.clear()
             n_held, n_blocks = 0, n_blocks + 1
             if hot.any():
-                yield _rows(kind=np.full(hot.sum(), _HOT, np.int32), a=often_g[hot].view(np.int64), b=often_n[hot].astype(np.int64), c=np.zeros(hot.sum(), np.int64))
+                yield _rows(kind=np.full(hot.sum(), _HOT, np.int32), a=g[hot].view(np.int64), b=n[hot].astype(np.int64), c=np.zeros(hot.sum(), np.int64))
 
         for ids, texts in _texts(batches):
-            sigs, lens = [], []
+            sigs = []
             for s in grams.gram_sets(texts, p.n):
-                lens.append(len(s))
-                sigs.append(signature(s) if len(s) else 0)
+                sigs.append(signature(s))
                 if len(s):
                     held.append(s)
                     n_held += len(s)
                     if n_held >= _HOT_BLOCK:
                         yield from close()
             if ids:
-                yield _rows(kind=np.full(len(ids), _DOC, np.int32), a=np.array(ids, np.int64), b=np.array(sigs, np.int64), c=np.array(lens, np.int64))
+                sig = np.array(sigs, np.int64)
+                yield _rows(kind=np.full(len(ids), _DOC, np.int32), a=np.array(ids, np.int64), b=sig[:, 0].copy(), c=sig[:, 1].copy())
         if held:
             yield from close()
-        s = np.flatnonzero(sizes[:, 0])
-        if len(s):
-            yield _rows(kind=np.full(len(s), _SIZE, np.int32), a=s.astype(np.int64), b=sizes[s, 0].astype(np.int64), c=sizes[s, 1].astype(np.int64))
+        if sizes:
+            s = sorted(sizes)
+            yield _rows(kind=np.full(len(s), _SIZE, np.int32), a=np.array(s, np.int64), b=np.array([sizes[x][0] for x in s]).astype(np.int64), c=np.array([sizes[x][1] for x in s]).astype(np.int64))
         yield _rows(kind=np.array([_BLOCKS], np.int32), a=np.array([n_blocks], np.int64), b=np.zeros(1, np.int64), c=np.zeros(1, np.int64))
 
     return docs.mapInArrow(run, "kind int, a long, b long, c long")
 
 
 def boundary(p: JoinParams, sizes: dict[int, tuple[int, int]], blocks: int) -> int:
-    """The size from which sets are heavy, of least cost; sizes: size -> (sets, list entries met within a block)."""
-
-    def light(s: int) -> float:
-        e = min(s, s - p.least(s) + 2)
-        return sizes[s][0] * e * (e - 1) / 2
-
-    def lists(s: int) -> float:
-        return sizes[s][0] * p.prefix(s)
+    """The size from which sets are heavy, of least cost; sizes: size class -> (sets, list entries met within a block)."""
+    order = sorted(s for s in sizes if s > 1)
+    light = {s: sizes[s][0] * (e := min(s, s - p.least(s) + 2)) * (e - 1) / 2 for s in order}
+    lists = {s: sizes[s][0] * p.prefix(s) for s in order}
 
     def cost(x: int) -> float:
-        heavy = sum(lists(s) + p.scan_cost * blocks * sizes[s][1] for s in sizes if s >= x)
-        return heavy + sum(light(s) + (lists(s) if s >= p.least(x) else 0) for s in sizes if s < x)
+        heavy = sum(lists[s] + p.scan_cost * blocks * sizes[s][1] for s in order if s >= x)
+        return heavy + sum(light[s] + (lists[s] if s >= p.least(x) else 0) for s in order if s < x)
 
-    return min(range(2, _SMALL + 1), key=lambda x: (cost(x), x))
+    return min([2, *(s for s in order if s > 2), *(s + 1 for s in order[-1:])], key=lambda x: (cost(x), x))
 
 
-def ordered(s: np.ndarray, hot: np.ndarray, hot_count: np.ndarray) -> tuple[np.ndarray, int]:
-    """A sorted set in the global order: grams that aren't frequent by hash, then the others by count and hash; and how many have a count under _SHARED."""
+def ordered(s: np.ndarray, hot: np.ndarray, hot_count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(a sorted set in the global order, its counts): grams that aren't frequent by hash, then the others by count and hash."""
     if not len(hot):
-        return s, len(s)
+        return s, np.zeros(len(s), dtype=np.int32)
     at = np.minimum(np.searchsorted(hot, s), len(hot) - 1)
-    rank = np.where(hot[at] == s, hot_count[at], 0)
+    rank = np.where(hot[at] == s, hot_count[at], np.int32(0))
     o = np.argsort(rank, kind="stable")
-    return s[o], int(np.searchsorted(rank[o], _SHARED))
+    return s[o], rank[o]
 
 
 def reducers(spark: SparkSession) -> list[int]:
@@ -179,92 +217,116 @@ def reducers(spark: SparkSession) -> list[int]:
     return sorted(r["id"] for r in rows)
 
 
+def _packed(targets: np.ndarray, part: np.ndarray, names: list[str], columns: tuple[np.ndarray, ...], subs: int = 1) -> Iterator[pa.RecordBatch]:
+    """One row for each target and sub-part that ``part`` (target * subs + sub) has, its columns as binary."""
+    order = np.argsort(part.astype(np.uint16 if len(targets) * subs < 65536 else np.uint32), kind="stable")
+    cuts = np.searchsorted(part[order], np.arange(len(targets) * subs + 1, dtype=part.dtype))
+    for i in np.flatnonzero(np.diff(cuts)):
+        o = order[cuts[i] : cuts[i + 1]]
+        yield pa.RecordBatch.from_arrays([pa.array([targets[i // subs]]), pa.array([i % subs], pa.int32()), *(pa.array([x[o].tobytes()], pa.binary()) for x in columns)], names=["pid", "sub", *names])
+
+
+def _split(keys: np.ndarray, meta: tuple[np.ndarray, ...], count: np.ndarray, split: int) -> tuple[np.ndarray, tuple[np.ndarray, ...]]:
+    """Postings of long lists once for each pair of blocks of their list; ``meta``: signature, aux, position, frequent."""
+    long = count >= split
+    if not long.any():
+        return keys, meta
+    n = np.ones(len(keys), dtype=np.int64)
+    n[long] = -(-count[long].astype(np.int64) // split)
+    row = np.repeat(np.arange(len(keys)), n)
+    other = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+    mine = (grams.mix(meta[0][row].view(np.uint64)) % n[row].astype(np.uint64)).astype(np.int64)
+    cell = np.minimum(mine, other) * (n[row] + 1) + np.maximum(mine, other) + 1
+    k = np.where(n[row] > 1, grams.mix(keys[row] ^ grams.mix(cell.astype(np.uint64))), keys[row])
+    sig, aux, pos, frequent = (x[row] for x in meta)
+    pos = np.where((n[row] > 1) & (mine > other), pos | _OTHER_SIDE, pos).astype(np.int32)
+    # a pair of different blocks holds two sides, of which only pairs across count; in (b, b) all do
+    pos = np.where((n[row] > 1) & (mine != other), pos | (_OTHER_SIDE >> 1), pos).astype(np.int32)
+    return k, (sig, aux, pos, frequent)
+
+
 def postings(docs: DataFrame, p: JoinParams, hot: tuple[np.ndarray, np.ndarray], heavy_from: int, pids: list[int]) -> DataFrame:
-    """Second pass: for each reducer, packed postings (key, signature, size, position); position -1 marks a 2-subset."""
+    """Second pass: for each reducer, packed postings (key, signature, aux, position); position -1 marks a 2-subset."""
     targets = np.array(pids, dtype=np.int64)
     border = p.least(heavy_from)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys: list[np.ndarray] = []
-        meta: list[tuple[int, int, int, int, int]] = []
+        counts: list[np.ndarray] = []
+        meta: list[tuple[int, int, int, int]] = []
         held = 0
         seen: set = set()
 
         def flush() -> Iterator[pa.RecordBatch]:
             nonlocal held
-            key = np.concatenate(keys)
+            key, count = np.concatenate(keys), np.concatenate(counts)
             m = np.array(meta, dtype=np.int64)
             length = m[:, 2]
-            sig, size = np.repeat(m[:, 0], length), np.repeat(m[:, 1], length).astype(np.int32)
-            begin = np.cumsum(length) - length
-            pos = (np.arange(len(key)) - np.repeat(begin, length)).astype(np.int32)
-            frequent = pos >= np.repeat(m[:, 4], length)
+            sig, aux = np.repeat(m[:, 0], length), np.repeat(m[:, 1], length)
+            pos = (np.arange(len(key)) - np.repeat(np.cumsum(length) - length, length)).astype(np.int32)
             pos[np.repeat(m[:, 3], length) == 1] = -1
-            keys.clear(), meta.clear()
+            keys.clear(), meta.clear(), counts.clear()
             held = 0
-            # copies of one text meet in the lists of many frequent grams: on a sixteenth of the reducers, most of their pairs are combined before they travel
-            part = (key >> np.uint64(17)) % np.where(frequent, np.uint64(max(1, len(targets) // 16)), np.uint64(len(targets)))
-            order = np.argsort(part.astype(np.uint16 if len(targets) < 65536 else np.uint64), kind="stable")
-            cuts = np.searchsorted(part[order], np.arange(len(targets) + 1, dtype=np.uint64))
-            for i in range(len(targets)):
-                o = order[cuts[i] : cuts[i + 1]]
-                if len(o):
-                    yield pa.RecordBatch.from_arrays([pa.array([targets[i]]), *(pa.array([x[o].tobytes()], pa.binary()) for x in (key, sig, size, pos))], names=["pid", "key", "sig", "size", "pos"])
+            key, (sig, aux, pos, frequent) = _split(key, (sig, aux, pos, count >= _SHARED), count, p.split)
+            # copies of one text meet in the lists of many frequent grams: on a quarter of the reducers, more of their pairs are combined before they travel
+            part = (key >> np.uint64(17)) % np.where(frequent, np.uint64(max(1, len(targets) // 4)), np.uint64(len(targets)))
+            yield from _packed(targets, part, ["key", "sig", "aux", "pos"], (key, sig, aux, pos))
 
         for _, texts in _texts(batches):
             for s in grams.gram_sets(texts, p.n):
                 n = len(s)
                 if n < 2:
                     continue  # similar only to equal sets
-                sig = signature(s)
-                if (sig, n) in seen:
+                own = signature(s)
+                if own in seen:
                     continue
-                if len(seen) > 200_000:
+                if len(seen) > 100_000:
                     seen.clear()
-                seen.add((sig, n))
-                o, rare = ordered(s, *hot)
+                seen.add(own)
+                o, rank = ordered(s, *hot)
                 if n < heavy_from:
                     e = o[: min(n, n - p.least(n) + 2)]
                     i, j = np.triu_indices(len(e), 1)
-                    k = grams.mix(np.minimum(e[i], e[j]) * np.uint64(0x9FB21C651E98DF25) + np.maximum(e[i], e[j]))
-                    keys.append(k)
-                    meta.append((sig, n, len(k), 1, len(k)))
-                    held += len(k)
+                    keys.append(grams.mix(np.minimum(e[i], e[j]) * np.uint64(0x9FB21C651E98DF25) + np.maximum(e[i], e[j])))
+                    counts.append(np.zeros(len(i), dtype=np.int32))
+                    meta.append((*own, len(i), 1))
+                    held += len(i)
                 if n >= border:
-                    k = o[: p.prefix(n)]
-                    keys.append(k)
-                    meta.append((sig, n, len(k), 0, rare))
-                    held += len(k)
+                    keys.append(o[: p.prefix(n)])
+                    counts.append(rank[: p.prefix(n)])
+                    meta.append((*own, len(keys[-1]), 0))
+                    held += len(keys[-1])
                 if held >= _FLUSH:
                     yield from flush()
         if held:
             yield from flush()
 
-    return docs.mapInArrow(run, "pid long, key binary, sig binary, size binary, pos binary")
+    return docs.mapInArrow(run, "pid long, sub int, key binary, sig binary, aux binary, pos binary")
 
 
-def _scan(key: np.ndarray, sig: np.ndarray, size: np.ndarray, pos: np.ndarray, t: float, heavy_from: int) -> Iterator[tuple[np.ndarray, ...]]:
-    """Pairs in the postings of whole lists: (signature and size of either, what it counts)."""
+def _scan(key: np.ndarray, sig: np.ndarray, aux: np.ndarray, pos: np.ndarray, t: float, heavy_from: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """Pairs in the postings of whole lists: (signature and aux of either, what it counts)."""
     if not len(key):
         return
     order = np.argsort(key, kind="stable")
-    k = key[order]
-    new = np.concatenate(([True], k[1:] != k[:-1]))
-    first = np.flatnonzero(new)
-    alone = np.diff(np.append(first, len(k))) == 1
-    keep = np.ones(len(k), dtype=bool)
+    first = np.flatnonzero(_edges(key[order]))
+    alone = np.diff(np.append(first, len(key))) == 1
+    keep = np.ones(len(key), dtype=bool)
     keep[first[alone]] = False
     order = order[keep]
-    key, sig, size, pos = key[order], sig[order], size[order], pos[order]
-    order = np.lexsort((sig, size, pos >= 0, key))
-    key, sig, size, pos = key[order], sig[order], size[order], pos[order]
-    if not len(key):
+    if not len(order):
         return
+    key, sig, aux, pos = key[order], sig[order], aux[order], pos[order]
+    size = _sizes(aux)
     kind = pos >= 0
-    again = np.concatenate(([False], (key[1:] == key[:-1]) & (sig[1:] == sig[:-1]) & (size[1:] == size[:-1]) & (kind[1:] == kind[:-1])))
-    key, sig, size, pos, kind = (x[~again] for x in (key, sig, size, pos, kind))
-    new = np.concatenate(([True], (key[1:] != key[:-1]) | (kind[1:] != kind[:-1])))
-    begins = np.flatnonzero(new)
+    order = np.lexsort((sig, aux, size, kind, key))
+    key, sig, aux, pos, size, kind = (x[order] for x in (key, sig, aux, pos, size, kind))
+    once = _edges(key, kind, aux, sig)
+    key, sig, aux, pos, size, kind = (x[once] for x in (key, sig, aux, pos, size, kind))
+    cross = kind & (pos & (_OTHER_SIDE >> 1) != 0)
+    side = pos & _OTHER_SIDE
+    pos = pos & ((_OTHER_SIDE >> 1) - 1)
+    begins = np.flatnonzero(_edges(key, kind))
     end = np.repeat(np.append(begins[1:], len(key)), np.diff(np.append(begins, len(key))))
     i, d = np.arange(len(key)), 0
     while len(i):
@@ -273,113 +335,139 @@ def _scan(key: np.ndarray, sig: np.ndarray, size: np.ndarray, pos: np.ndarray, t
         j = i + d
         near = size[i] >= t * size[j] - 1e-9  # sizes ascend within a list
         i, j = i[near], j[near]
-        need = np.ceil(t / (1 + t) * (size[i] + size[j].astype(np.int64)) - 1e-9)
+        need = np.ceil(t / (1 + t) * (size[i] + size[j]) - 1e-9)
         most = np.minimum(pos[i], pos[j]) + np.minimum(size[i] - pos[i], size[j] - pos[j])
-        ok = ~kind[i] | ((size[j] >= heavy_from) & (most >= need))
+        ok = ~kind[i] | ((size[j] >= heavy_from) & (most >= need) & (~cross[i] | (side[i] != side[j])))
         a, b = i[ok], j[ok]
         if len(a):
-            yield sig[a], size[a], sig[b], size[b], np.where(kind[a], 1, _LIGHT)
+            yield sig[a], aux[a], sig[b], aux[b], np.where(kind[a], 1, _LIGHT)
 
 
-def candidates(posted: DataFrame, p: JoinParams, heavy_from: int) -> DataFrame:
-    """Pairs of sets with enough keys in common: (ia, sa, ib, sb)."""
-    names = ["ia", "sa", "ib", "sb", "n"]
+def _combined(out: list) -> tuple[np.ndarray, ...]:
+    """Pairs in one order, the lesser set first, each once with the sum of its counts."""
+    ia, xa, ib, xb, n = (np.concatenate(c) for c in zip(*out))
+    swap = (ib < ia) | ((ib == ia) & (xb < xa))
+    ia, ib, xa, xb = np.where(swap, ib, ia), np.where(swap, ia, ib), np.where(swap, xb, xa), np.where(swap, xa, xb)
+    o = np.lexsort((xb, ib, xa, ia))
+    ia, xa, ib, xb, n = ia[o], xa[o], ib[o], xb[o], n[o]
+    one = np.flatnonzero(_edges(ia, ib, xa, xb))
+    return ia[one], xa[one], ib[one], xb[one], np.minimum(np.add.reduceat(n.astype(np.int64), one), 1 << 30).astype(np.int32)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pid, parts = None, ([], [], [], [])
 
-        def close() -> Iterator[pa.RecordBatch]:
-            key, sig, size, pos = (np.concatenate(x) for x in parts)
-            for x in parts:
-                x.clear()
-            out: list = []
-            n = 0
-
-            def emit() -> pa.RecordBatch:
-                ia, sa, ib, sb, n_keys = (np.concatenate(c) for c in zip(*out))
-                swap = (ib < ia) | ((ib == ia) & (sb < sa))
-                ia, ib, sa, sb = np.where(swap, ib, ia), np.where(swap, ia, ib), np.where(swap, sb, sa), np.where(swap, sa, sb)
-                o = np.lexsort((sb, ib, sa, ia))
-                ia, sa, ib, sb, n_keys = ia[o], sa[o], ib[o], sb[o], n_keys[o]
-                one = np.concatenate(([True], (ia[1:] != ia[:-1]) | (ib[1:] != ib[:-1]) | (sa[1:] != sa[:-1]) | (sb[1:] != sb[:-1])))
-                out.clear()
-                n_keys = np.add.reduceat(n_keys, np.flatnonzero(one))
-                return pa.RecordBatch.from_arrays([*(pa.array(x[one]) for x in (ia, sa, ib, sb)), pa.array(n_keys.astype(np.int32))], names=names)
+def _by_part(batches: Iterator[pa.RecordBatch], kinds: tuple) -> Iterator[tuple[np.ndarray, ...]]:
+    """The unpacked columns of all rows of one (pid, sub), for sorted batches."""
+    at, parts = None, tuple([] for _ in kinds)
+    for b in batches:
+        for r in range(b.num_rows):
+            key = b.column(0)[r].as_py(), b.column(1)[r].as_py()
+            if at is not None and key != at:
+                yield tuple(np.concatenate(x) for x in parts)
+                for x in parts:
+                    x.clear()
+            at = key
+            for x, c, kind in zip(parts, range(2, 2 + len(kinds)), kinds):
+                x.append(np.frombuffer(b.column(c)[r].as_py(), dtype=kind))
+    if at is not None:
+        yield tuple(np.concatenate(x) for x in parts)
+
+
+def candidates(posted: DataFrame, p: JoinParams, heavy_from: int, pids: list[int]) -> DataFrame:
+    """Pairs of sets with enough keys in common: (ia, xa, ib, xb)."""
+    targets = np.array(pids, dtype=np.int64)
+    names = ["ia", "xa", "ib", "xb"]
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out: list = []
+        n = 0
+
+        def emit() -> Iterator[pa.RecordBatch]:
+            pairs = _combined(out)
+            out.clear()
+            h = grams.mix(pairs[0].view(np.uint64) + grams.mix(pairs[2].view(np.uint64)))
+            yield from _packed(targets, h % np.uint64(len(targets) * _SUBS), [*names, "n"], pairs, _SUBS)
 
+        for key, sig, aux, pos in _by_part(batches, (np.uint64, np.int64, np.int64, np.int32)):
             for part in range(_PARTS):
                 mine = (key >> np.uint64(40)) % np.uint64(_PARTS) == part
-                for c in _scan(key[mine], sig[mine], size[mine], pos[mine], p.t, heavy_from):
+                for c in _scan(key[mine], sig[mine], aux[mine], pos[mine], p.t, heavy_from):
                     out.append(c)
                     n += len(c[0])
                     if n >= _PAIRS:
-                        yield emit()
+                        yield from emit()
                         n = 0
-            if out:
-                yield emit()
-
-        for b in batches:
-            for r in range(b.num_rows):
-                if pid is not None and b.column(0)[r].as_py() != pid:
-                    yield from close()
-                pid = b.column(0)[r].as_py()
-                for x, c, kind in zip(parts, range(1, 5), (np.uint64, np.int64, np.int32, np.int32)):
-                    x.append(np.frombuffer(b.column(c)[r].as_py(), dtype=kind))
-        if pid is not None:
-            yield from close()
+        if out:
+            yield from emit()
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for cols in _by_part(batches, (np.int64, np.int64, np.int64, np.int64, np.int32)):
+            ia, xa, ib, xb, n = _combined([cols])
+            ok = n >= np.maximum(1, np.floor(p.lead * np.minimum(_sizes(xa), _sizes(xb))))
+            yield pa.RecordBatch.from_arrays([pa.array(x[ok]) for x in (ia, xa, ib, xb)], names=names)
 
-    n = int(posted.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    met = posted.repartition(n, "pid").sortWithinPartitions("pid").mapInArrow(run, "ia long, sa int, ib long, sb int, n int")
-    enough = F.greatest(F.lit(1), F.floor(F.lit(p.lead) * F.least("sa", "sb")))
-    return met.groupBy("ia", "sa", "ib", "sb").agg(F.sum("n").alias("n")).where(F.col("n") >= enough).drop("n")
+    n = len(targets)
+    met = posted.repartition(n, "pid").sortWithinPartitions("pid", "sub").mapInArrow(lambda b: grams.rebatched(meet(b), 1 << 20), "pid long, sub int, ia binary, xa binary, ib binary, xb binary, n binary")
+    return met.repartition(n, "pid").sortWithinPartitions("pid", "sub").mapInArrow(add, "ia long, xa long, ib long, xb long")
 
 
-def _verify(own: dict, partners: dict, t: float, forest: bool) -> list[tuple]:
-    """Pairs (ia, sa, ib, sb, shared) of one group of sets; with ``forest`` only enough of them to connect what is similar."""
-    parent: dict = {}
+class _Forest:
+    """Union-find over indices."""
 
-    def root(x):
-        while parent.setdefault(x, x) != x:
+    def __init__(self, n: int) -> None:
+        self.parent = list(range(n))
+
+    def root(self, x: int) -> int:
+        parent = self.parent
+        while parent[x] != x:
             parent[x] = x = parent[parent[x]]
         return x
 
+
+def _verify(own: list[np.ndarray], partners: dict[int, list[int]], t: float, forest: bool) -> list[tuple[int, int, float, bool]]:
+    """(a, b, Jaccard, does it connect what wasn't) of the similar pairs of one block; with ``forest`` only those that connect."""
+    f = _Forest(len(own))
+    size = np.array([len(s) for s in own])
     out = []
     for a, others in partners.items():
-        if forest:
-            others = [b for b in others if root(a) != root(b)]
         s = own[a]
         for lo in range(0, len(others), 64):
             some = others[lo : lo + 64]
             if forest:
-                some = [b for b in some if root(a) != root(b)]
-            if not some:
-                continue
+                some = [b for b in some if f.root(a) != f.root(b)]
+                if not some:
+                    continue
             cat = np.concatenate([own[b] for b in some])
             at = np.minimum(np.searchsorted(s, cat), len(s) - 1)
-            lens = np.array([len(own[b]) for b in some])
+            lens = size[some]
             shared = np.add.reduceat((s[at] == cat).astype(np.int64), np.cumsum(lens) - lens)
-            for b, k, n in zip(some, shared, lens):
-                if k >= t * (len(s) + n - k) - 1e-9:
-                    out.append((a[0], a[1], b[0], b[1], int(k)))
-                    if forest:
-                        parent[root(a)] = root(b)
+            union = len(s) + lens - shared
+            for k in np.flatnonzero(shared >= t * union - 1e-9):
+                ra, rb = f.root(a), f.root(some[k])
+                if ra != rb:
+                    f.parent[ra] = rb
+                if ra != rb or not forest:
+                    out.append((a, some[k], shared[k] / union[k], ra != rb))
     return out
 
 
 @dataclass
 class Join:
-    """``sets``: (doc_id, sig, size) of all documents with words; ``pairs``: similar documents of different sets (x, y, jaccard), or with ``forest`` the least of the documents of either set."""
+    """``sets``: (doc_id, sig, aux; null without words), one row a document; ``classes``: (sig, aux, rep, n) with the
+    least doc_id and the number of documents; ``pairs``: similar classes as (x, y, nx, ny, jaccard, tree), x and y their
+    rep; those with ``tree`` connect all that the others do, and with ``forest`` there are no others."""
 
     sets: DataFrame
+    classes: DataFrame
     pairs: DataFrame
     heavy_from: int
 
 
 def similar(docs: DataFrame, p: JoinParams = JoinParams(), forest: bool = False) -> Join:
     """Join ``docs`` (doc_id, text) with itself."""
-    spark = docs.sparkSession
-    docs = docs.select("doc_id", "text").where(F.col("doc_id").isNotNull() & (F.length("text") > 0))
+    docs = docs.select("doc_id", "text").where(F.col("doc_id").isNotNull())
     found = stored(survey(docs, p), "ngram-survey")
-    sets = found.where((F.col("kind") == _DOC) & (F.col("c") > 0)).select(F.col("a").alias("doc_id"), F.col("b").alias("sig"), F.col("c").cast("int").alias("size"))
+    own = F.min(F.when(F.col("c") > 0, F.struct(F.col("b").alias("sig"), F.col("c").alias("aux")))).alias("s")
+    sets = stored(found.where(F.col("kind") == _DOC).groupBy(F.col("a").alias("doc_id")).agg(own).select("doc_id", "s.sig", "s.aux"), "ngram-sets")
+    classes = stored(sets.where("aux IS NOT NULL").groupBy("sig", "aux").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n")), "ngram-classes")
     hot_rows = found.where(F.col("kind") == _HOT).groupBy("a").agg(F.sum("b").alias("n")).orderBy(F.desc("n"), "a").limit(p.hot_max).toArrow()
     hot, count = hot_rows["a"].to_numpy().view(np.uint64), hot_rows["n"].to_numpy()
     o = np.argsort(hot)
@@ -388,77 +476,73 @@ def similar(docs: DataFrame, p: JoinParams = JoinParams(), forest: bool = False)
     n_blocks = found.where(F.col("kind") == _BLOCKS).agg(F.sum("a")).first()[0] or 0
     heavy_from = boundary(p, by_size, n_blocks)
 
-    posted = postings(docs, p, (hot, count), heavy_from, reducers(spark))
-    cand = stored(candidates(posted, p, heavy_from), "ngram-candidates")
-
-    # a set's label is the least signature among itself and its candidates: copies of one text share it, and are checked together
-    a, b = F.struct(F.col("ia").alias("sig"), F.col("sa").alias("size")), F.struct(F.col("ib").alias("sig"), F.col("sb").alias("size"))
-    label = cand.select(F.explode(F.array(a, b)).alias("x"), F.least("ia", "ib").alias("l")).groupBy("x.sig", "x.size").agg(F.min("l").alias("label"))
-    keyed_a = cand.join(label.select(F.col("sig").alias("ia"), F.col("size").alias("sa"), "label"), ["ia", "sa"])
-    a = keyed_a.groupBy(F.col("label").alias("key"), F.col("ia").alias("sig"), F.col("sa").alias("size")).agg(F.collect_list(F.struct("ib", "sb")).alias("partners"))
-    b = keyed_a.select(F.col("label").alias("key"), F.col("ib").alias("sig"), F.col("sb").alias("size")).distinct().withColumn("partners", F.array().cast("array<struct<ib:bigint,sb:int>>"))
-    need = a.unionByName(b)
-    wanted = cand.select(F.col("ia").alias("sig"), F.col("sa").alias("size")).union(cand.select("ib", "sb")).distinct()
-    ids = F.array(F.min("doc_id")) if forest else F.array_sort(F.collect_set("doc_id"))
-    reps = stored(sets.groupBy("sig", "size").agg(ids.alias("ids")).join(wanted, ["sig", "size"], "left_semi"), "ngram-wanted")
-    whole = _whole_sets(docs, reps.select(F.col("ids")[0].alias("doc_id")), p)
-    keyed = need.join(reps, ["sig", "size"]).join(whole, ["sig", "size"]).select("key", "sig", "size", "partners", "grams", "ids")
+    pids = reducers(docs.sparkSession)
+    cand = stored(candidates(postings(docs, p, (hot, count), heavy_from, pids), p, heavy_from, pids), "ngram-candidates")
+    keyed = _grouped(cand, docs, classes, p)
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, own, ids, partners = None, {}, {}, {}
+        at, index, own, facts, partners = None, {}, [], [], []
 
         def close() -> pa.RecordBatch:
-            rows = _verify(own, {a: b for a, b in partners.items() if b}, p.t, forest)
-            x = [np.repeat(ids[ia, sa], len(ids[ib, sb])) for ia, sa, ib, sb, _ in rows]
-            y = [np.tile(ids[ib, sb], len(ids[ia, sa])) for ia, sa, ib, sb, _ in rows]
-            j = [np.full(len(v), k / (r[1] + r[3] - k)) for v, r in zip(x, rows) for k in (r[4],)]
-            own.clear(), ids.clear(), partners.clear()
-            none = [np.zeros(0)]
-            return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x or none).astype(np.int64)), pa.array(np.concatenate(y or none).astype(np.int64)), pa.array(np.concatenate(j or none))], names=["x", "y", "jaccard"])
+            pairs = _verify(own, {index[a]: [index[b] for b in bs] for a, bs in partners}, p.t, forest)
+            a, b, j, tree = (np.array(x) for x in zip(*pairs)) if pairs else (np.zeros(0, np.int64),) * 4
+            f = np.array(facts, dtype=np.int64)
+            index.clear(), own.clear(), facts.clear(), partners.clear()
+            cols = [f[a, 0], f[b, 0], f[a, 1], f[b, 1], j.astype(np.float64), tree.astype(bool)]
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["x", "y", "nx", "ny", "jaccard", "tree"])
 
         for batch in batches:
-            for k, sig, size, ps, g, docs_ in zip(*(batch.column(c).to_pylist() for c in range(4)), batch.column(4), batch.column(5).to_pylist()):
-                if key is not None and k != key:
+            label, ba, bb, sig, aux, rep, n = (batch.column(c).to_numpy() for c in range(7))
+            bounds = batch.column(7).offsets.to_numpy()
+            ib, xb = (batch.column(7).values.field(c).to_numpy() for c in (0, 1))
+            for r in range(batch.num_rows):
+                key = label[r], ba[r], bb[r]
+                if at is not None and key != at:
                     yield close()
-                key = k
-                own[sig, size] = np.frombuffer(g.as_py(), dtype=np.uint64)
-                ids[sig, size] = np.array(docs_)
-                partners.setdefault((sig, size), []).extend((x["ib"], x["sb"]) for x in ps)
-        if key is not None:
+                at, me = key, (int(sig[r]), int(aux[r]))
+                if me not in index:
+                    index[me] = len(own)
+                    own.append(np.frombuffer(batch.column(8)[r].as_py(), dtype=np.uint64))
+                    facts.append((rep[r], n[r]))
+                lo, hi = bounds[r], bounds[r + 1]
+                if hi > lo:
+                    partners.append((me, list(zip(ib[lo:hi].tolist(), xb[lo:hi].tolist()))))
+        if at is not None:
             yield close()
 
-    pairs = keyed.repartition("key").sortWithinPartitions("key").mapInArrow(lambda batches: grams.rebatched(check(batches)), "x long, y long, jaccard double")
-    return Join(sets, stored(pairs, "ngram-pairs"), heavy_from)
-
-
-def _whole_sets(docs: DataFrame, reps: DataFrame, p: JoinParams) -> DataFrame:
-    """(sig, size, grams) of the documents of ``reps``. Up to ``exact_filter`` ids they are sent to the scan; beyond, joined by a shuffle."""
-    ids = None
-    some = docs
-    if reps.count() <= p.exact_filter:
-        ids = np.sort(reps.select("doc_id").toArrow()["doc_id"].to_numpy())
-    else:
-        some = docs.join(reps.select("doc_id"), "doc_id", "left_semi")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            if ids is not None:
-                mine = b.column(0).to_numpy(zero_copy_only=False)
-                b = b.filter(pa.array(np.isin(mine, ids)))
-            for docs_, texts in _texts([b]):
-                for i, s in zip(docs_, grams.gram_sets(texts, p.n)):
-                    yield pa.RecordBatch.from_arrays([pa.array([i]), pa.array([signature(s)]), pa.array([len(s)], pa.int32()), pa.array([s.tobytes()], pa.binary())], names=["doc_id", "sig", "size", "grams"])
-
-    got = some.mapInArrow(lambda batches: grams.rebatched(run(batches)), "doc_id long, sig long, size int, grams binary")
-    return got.groupBy("sig", "size").agg(F.first("grams").alias("grams"))
-
+    pairs = keyed.repartition("label", "ba", "bb").sortWithinPartitions("label", "ba", "bb").mapInArrow(lambda batches: grams.rebatched(check(batches)), "x long, y long, nx long, ny long, jaccard double, tree boolean")
+    return Join(sets, classes, stored(pairs, "ngram-pairs"), heavy_from)
+
+
+def _grouped(cand: DataFrame, docs: DataFrame, classes: DataFrame, p: JoinParams) -> DataFrame:
+    """(label, ba, bb, sig, aux, rep, n, partners, grams): the candidates of each block with the sets they need.
+
+    The label of a set is the least signature among itself and its candidates: copies of one text share it, and are checked together.
+    """
+    a, b = F.struct(F.col("ia").alias("sig"), F.col("xa").alias("aux")), F.struct(F.col("ib").alias("sig"), F.col("xb").alias("aux"))
+    label = cand.select(F.explode(F.array(a, b)).alias("x"), F.least("ia", "ib").alias("l")).groupBy("x.sig", "x.aux").agg(F.min("l").alias("label"))
+    label = stored(label, "ngram-labels")
+    keyed = stored(cand.join(label.select(F.col("sig").alias("ia"), F.col("aux").alias("xa"), "label"), ["ia", "xa"]), "ngram-keyed")
+    large = stored(keyed.groupBy("label").agg(F.count("*").alias("pairs")).where(F.col("pairs") > p.group_pairs), "ngram-large")
+    blocks = F.coalesce(F.ceil(F.sqrt(F.col("pairs") / p.group_pairs)), F.lit(1)).cast("long")
+    keyed = keyed.join(large, "label", "left").withColumn("blocks", blocks)
+    block = lambda i, x: F.pmod(F.xxhash64(i, x), F.col("blocks"))
+    keyed = keyed.withColumn("ba", block("ia", "xa")).withColumn("bb", block("ib", "xb"))
+    key = ["label", "ba", "bb"]
+    left = keyed.groupBy(*key, F.col("ia").alias("sig"), F.col("xa").alias("aux")).agg(F.collect_list(F.struct("ib", "xb")).alias("partners"))
+    right = keyed.select(*key, F.col("ib").alias("sig"), F.col("xb").alias("aux")).distinct().withColumn("partners", F.array().cast("array<struct<ib:bigint,xb:bigint>>"))
+    reps = classes.join(label.select("sig", "aux"), ["sig", "aux"], "left_semi")
+    some = docs.join(reps.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, texts in _texts(batches):
+            sets = [s for s in grams.gram_sets(texts, p.n) if len(s)]
+            if sets:
+                sig = np.array([signature(s) for s in sets], np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(sig[:, 0].copy()), pa.array(sig[:, 1].copy()), pa.array([s.tobytes() for s in sets], pa.binary())], names=["sig", "aux", "grams"])
 
-def document_pairs(j: Join) -> DataFrame:
-    """(id_a, id_b, jaccard) of all similar documents, id_a < id_b."""
-    ids = j.sets.groupBy("sig", "size").agg(F.collect_set("doc_id").alias("ids"))
-    same = ids.where(F.size("ids") > 1).select(F.explode("ids").alias("id_a"), "ids").select("id_a", F.explode("ids").alias("id_b"), F.lit(1.0).alias("jaccard")).where("id_a < id_b")
-    cross = j.pairs.where("x <> y").select(F.least("x", "y").alias("id_a"), F.greatest("x", "y").alias("id_b"), F.round("jaccard", 6).alias("jaccard"))
-    return same.unionByName(cross)
+    sets = some.mapInArrow(whole, "sig long, aux long, grams binary")
+    return left.unionByName(right).join(reps, ["sig", "aux"]).join(sets, ["sig", "aux"]).select(*key, "sig", "aux", "rep", "n", "partners", "grams")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -467,24 +551,35 @@ def components(edges: DataFrame) -> DataFrame:
     state = None
     while True:
         both = edges.union(edges.select("y", "x"))
-        hub = both.groupBy("x").agg(F.min("y").alias("m"), F.collect_list("y").alias("ys")).withColumn("m", F.least("x", "m"))
-        large = hub.select("x", "m", F.explode("ys").alias("y")).where("y > x").select(F.col("y").alias("x"), F.col("m").alias("y"))
-        small = large.distinct().groupBy("x").agg(F.min("y").alias("m"), F.collect_list("y").alias("ys"))
-        small = small.select("m", F.explode(F.concat("ys", F.array("x"))).alias("x")).where("x <> m").select("x", F.col("m").alias("y")).distinct()
-        edges = stored(small, "cc")
+        least = both.groupBy(F.col("x").alias("h")).agg(F.least(F.min("x"), F.min("y")).alias("m"))
+        large = stored(both.where("y > x").join(least, F.col("x") == F.col("h")).select(F.col("y").alias("x"), F.col("m").alias("y")).distinct(), "cc")
+        least = large.groupBy(F.col("x").alias("h")).agg(F.min("y").alias("m"))
+        small = large.join(least, F.col("x") == F.col("h")).select("y", "m").where("y <> m").union(least)
+        edges = stored(small.toDF("x", "y").distinct(), "cc")
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("x", "y").cast("decimal(38,0)"))).first()
         if now == state:
             return edges.select(F.col("x").alias("v"), F.col("y").alias("root"))
         state = now
 
 
+def document_links(docs: DataFrame, p: JoinParams = JoinParams()) -> DataFrame:
+    """(doc_id, class_id, n_links) of each document: the least doc_id of all that similar pairs connect it with, and the number of other documents similar to it."""
+    j = similar(docs, p)
+    ends = j.pairs.select(F.explode(F.array(F.struct(F.col("x").alias("v"), F.col("ny").alias("n")), F.struct(F.col("y").alias("v"), F.col("nx").alias("n")))).alias("e"))
+    links = ends.groupBy("e.v").agg(F.sum("e.n").alias("links"))
+    root = components(j.pairs.where("tree").select("x", "y"))
+    known = j.classes.join(links, F.col("rep") == links["v"], "left").drop("v").join(root, F.col("rep") == root["v"], "left")
+    known = known.select("sig", "aux", F.coalesce("root", "rep").alias("class_id"), (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
+    out = j.sets.where("aux IS NOT NULL").join(known, ["sig", "aux"]).select("doc_id", "class_id", "n_links")
+    return out.unionByName(j.sets.where("aux IS NULL").select("doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links")))
+
+
 def dropped(docs: DataFrame, p: JoinParams = JoinParams()) -> DataFrame:
     """doc_id of every document that is not the least of its group; groups are what similar pairs connect."""
     j = similar(docs, p, forest=True)
-    rep = j.sets.groupBy("sig", "size").agg(F.min("doc_id").alias("rep"))
     root = components(j.pairs.select("x", "y"))
-    copies = j.sets.join(rep, ["sig", "size"]).where("doc_id > rep").select("doc_id")
-    return copies.union(root.where("v > root").select("v")).distinct()
+    copies = j.sets.join(j.classes.where("n > 1").select("sig", "aux", "rep"), ["sig", "aux"]).where("doc_id > rep").select("doc_id")
+    return copies.union(root.where("v > root").select("v"))
 
 
 def one_of_each_group(docs: DataFrame, p: JoinParams = JoinParams()) -> DataFrame:
@@ -500,5 +595,5 @@ def one_of_each_group(docs: DataFrame, p: JoinParams = JoinParams()) -> DataFram
 
 
 def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All pairs of documents whose 3-gram sets have a Jaccard similarity of at least 0.6."""
-    return document_pairs(similar(table(spark, sf_dir, "documents")))
+    """Every document with its class of near copies (3-gram sets with a Jaccard similarity of at least 0.51) and the number of documents similar to it."""
+    return document_links(table(spark, sf_dir, "documents"))

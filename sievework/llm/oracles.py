@@ -75,7 +75,7 @@ WHERE NOT coalesce(jc > 0.17 + 1.2 / sqrt(n_chars), false) AND NOT coalesce(jw >
 """
 
 NGRAM_JOIN = r"""
-WITH d AS (
+WITH RECURSIVE d AS (
   SELECT doc_id, regexp_extract_all(lower(text), '[^\x00-\x2f\x3a-\x60\x7b-\x7f]+') AS ws FROM documents WHERE doc_id IS NOT NULL
 ), g AS (
   SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) >= 3 THEN list_transform(range(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2]) ELSE [array_to_string(ws, ' ')] END) AS gram
@@ -83,11 +83,18 @@ WITH d AS (
 ), n AS (
   SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id
 ), shared AS (
-  SELECT a.doc_id AS id_a, b.doc_id AS id_b, count(*) AS k FROM g a JOIN g b ON a.gram = b.gram AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM g a JOIN g b ON a.gram = b.gram AND a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id
+), link AS MATERIALIZED (
+  SELECT a, b FROM shared JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE k >= 0.51 * (x.n + y.n - k) - 1e-9
+), reach AS (
+  SELECT a, b FROM link UNION SELECT r.a, l.b FROM reach r JOIN link l ON l.a = r.b
+), root AS (
+  SELECT a AS doc_id, min(b) AS least FROM reach GROUP BY a
+), degree AS (
+  SELECT a AS doc_id, count(*) AS n_links FROM link GROUP BY a
 )
-SELECT id_a, id_b, round(k / (x.n + y.n - k)::DOUBLE, 6) AS jaccard
-FROM shared JOIN n x ON x.doc_id = id_a JOIN n y ON y.doc_id = id_b
-WHERE k >= 0.6 * (x.n + y.n - k) - 1e-9
+SELECT doc_id, least(doc_id, coalesce(least, doc_id)) AS class_id, coalesce(n_links, 0)::BIGINT AS n_links
+FROM (SELECT DISTINCT doc_id FROM documents WHERE doc_id IS NOT NULL) LEFT JOIN root USING (doc_id) LEFT JOIN degree USING (doc_id)
 """
 
 
@@ -177,7 +184,7 @@ TOPK = """
 WITH v AS (
   SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings WHERE vec_id IS NOT NULL
 ), d AS (
-  SELECT a.vec_id, b.vec_id AS neighbour_id, round(list_distance(a.e, b.e), 9) AS d FROM v a JOIN v b ON a.vec_id <> b.vec_id
+  SELECT a.vec_id, b.vec_id AS neighbour_id, round(list_distance(a.e, b.e), 9) AS d FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0
 ), r AS (
   SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY d, neighbour_id) AS rank FROM d
 )

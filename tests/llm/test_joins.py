@@ -44,21 +44,69 @@ def brute_pairs(rows, t):
     return out
 
 
-@pytest.mark.parametrize(("seed", "t", "lead"), [(1, 0.6, 0.1), (2, 0.6, 0.1), (3, 0.8, 0.02), (4, 0.55, 0.2)])
+def expanded(j):
+    """All pairs of documents that the classes and links of a join stand for."""
+    of: dict = {}
+    for r in j.sets.where("aux IS NOT NULL").collect():
+        of.setdefault((r["sig"], r["aux"]), []).append(r["doc_id"])
+    mine = {min(v): sorted(v) for v in of.values()}
+    out = {(a, b, 1.0) for v in mine.values() for a, b in combinations(v, 2)}
+    for r in j.pairs.collect():
+        assert (r["nx"], r["ny"]) == (len(mine[r["x"]]), len(mine[r["y"]]))
+        out |= {(min(a, b), max(a, b), round(r["jaccard"], 6)) for a in mine[r["x"]] for b in mine[r["y"]]}
+    return out
+
+
+def brute_links(rows, t):
+    """(doc_id, least connected doc_id, similar documents) of each document."""
+    ids = sorted({r[0] for r in rows if r[0] is not None})
+    parent, degree = {i: i for i in ids}, dict.fromkeys(ids, 0)
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b, _ in brute_pairs(rows, t):
+        degree[a] += 1
+        degree[b] += 1
+        a, b = sorted((root(a), root(b)))
+        parent[b] = a
+    return {(i, root(i), degree[i]) for i in ids}
+
+
+@pytest.mark.parametrize(("seed", "t", "lead"), [(1, 0.6, 0.1), (2, 0.51, 0.1), (3, 0.8, 0.02), (4, 0.55, 0.2)])
 def test_pairs_are_those_of_brute_force(spark, seed, t, lead):
     rows = corpus(seed)
     df = spark.createDataFrame(rows, SCHEMA).repartition(3)
-    j = nj.similar(df, nj.JoinParams(t=t, lead=lead))
-    got = {(r["id_a"], r["id_b"], r["jaccard"]) for r in nj.document_pairs(j).collect()}
+    p = nj.JoinParams(t=t, lead=lead)
+    got = expanded(nj.similar(df, p))
     assert got == brute_pairs(rows, t) and got
+    assert {tuple(r) for r in nj.document_links(df, p).collect()} == brute_links(rows, t)
 
 
-@pytest.mark.parametrize("x", [2, 20, 65])
-def test_any_boundary_gives_the_same(spark, monkeypatch, x):
+@pytest.mark.parametrize("x", [2, 20, 500])
+def test_any_boundary_and_any_split_give_the_same(spark, monkeypatch, x):
     rows = corpus(7)
     monkeypatch.setattr(nj, "boundary", lambda *a: x)
-    j = nj.similar(spark.createDataFrame(rows, SCHEMA), nj.JoinParams(exact_filter=0))
-    assert {(r["id_a"], r["id_b"]) for r in nj.document_pairs(j).collect()} == {p[:2] for p in brute_pairs(rows, 0.6)}
+    j = nj.similar(spark.createDataFrame(rows, SCHEMA), nj.JoinParams(t=0.6, split=2, group_pairs=3))
+    assert {p[:2] for p in expanded(j)} == {p[:2] for p in brute_pairs(rows, 0.6)}
+
+
+def test_the_tree_connects_what_all_pairs_do(spark):
+    j = nj.similar(spark.createDataFrame(corpus(8), SCHEMA), nj.JoinParams(group_pairs=4))
+    roots = [{tuple(r) for r in nj.components(x.select("x", "y")).collect()} for x in (j.pairs, j.pairs.where("tree"))]
+    assert roots[0] == roots[1] and roots[0]
+
+
+def test_the_boundary_is_that_of_least_cost():
+    p = nj.JoinParams()
+    assert nj.boundary(p, {}, 0) == 2
+    assert nj.boundary(p, {300: (1000, 10**12)}, 5) == 301  # lists that nobody could scan
+    assert nj.boundary(p, {4: (10**6, 10**9), 3000: (10**6, 10**6)}, 5) == 3000
+    assert nj.boundary(p, {3000: (10**6, 10**6)}, 5) in (2, 3000)
+    s = np.array([1, 2, 255, 256, 257, 1000, 10**6])
+    assert list(nj.size_class(s)) == [1, 2, 255, 256, 256, 992, 983040]
 
 
 def test_one_of_each_group_stays(spark):
@@ -72,7 +120,7 @@ def test_one_of_each_group_stays(spark):
             x = parent[x]
         return x
 
-    for a, b, _ in brute_pairs(rows, 0.6):
+    for a, b, _ in brute_pairs(rows, nj.JoinParams().t):
         a, b = sorted((root(a), root(b)))
         parent[b] = a
     want = sorted({root(i) for i in parent}) + [None]
@@ -81,7 +129,7 @@ def test_one_of_each_group_stays(spark):
 
 def test_no_documents(spark):
     empty = spark.createDataFrame([], SCHEMA)
-    assert nj.document_pairs(nj.similar(empty)).count() == 0
+    assert nj.document_links(empty).count() == 0
     assert nj.one_of_each_group(empty).count() == 0
     assert substrings.repeated_spans(empty).count() == 0
 
@@ -171,6 +219,6 @@ def test_very_long_texts(spark):
     copy = [v if i % 40 else "edited" for i, v in enumerate(w)]
     other = [f"y{r.randrange(5000)}" for _ in range(60_000)]
     df = spark.createDataFrame([(1, " ".join(w)), (2, " ".join(copy)), (3, " ".join(other)), (4, "x1")], "doc_id long, text string")
-    assert [(x["id_a"], x["id_b"]) for x in nj.document_pairs(nj.similar(df)).collect()] == [(1, 2)]
+    assert {tuple(x) for x in nj.document_links(df).collect()} == {(1, 1, 1), (2, 1, 1), (3, 3, 0), (4, 4, 0)}
     spans = substrings.repeated_spans(df.where("doc_id <> 2").union(df.where("doc_id = 1").selectExpr("9", "text")), 50).collect()
     assert sorted((s["doc_id"], s["start_word"], s["end_word"], s["longest"]) for s in spans) == [(1, 0, 120_000, 102_400), (9, 0, 120_000, 102_400)]
