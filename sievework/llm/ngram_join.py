@@ -49,15 +49,15 @@ from sievework.llm import grams
 from sievework.shared import stored, table
 
 _FLUSH = 1 << 19
-_PARTS = 4  # a reducer's lists are scanned in so many parts, to bound its memory
-_SUBS = 4  # so are the pairs that it sums
+_SUBS = 4  # a reducer scans its long lists in so many parts, and sums its pairs likewise, to bound its memory
 _PAIRS = 1 << 19
+_HELD = 1 << 22  # pairs that a reducer combines before they travel
 _SHARED = 64  # count from which a gram's list goes to the reducers for frequent grams
 _SLICE = 512  # texts that are Python strings at a time
 _HOT_BLOCK = 1 << 21
 _LIGHT = 1 << 20  # a 2-subset in common is enough
 _SIZE_BITS = 28
-_OTHER_SIDE = 1 << 30
+_SUBSET, _CROSS, _SIDE, _FAR = 0xFFFF, 0x8000, 0x4000, 0x3FFE  # a position is cut at _FAR, which only weakens its bound
 _DOC, _HOT, _SIZE, _BLOCKS = range(4)
 
 
@@ -239,14 +239,14 @@ def _split(keys: np.ndarray, meta: tuple[np.ndarray, ...], count: np.ndarray, sp
     cell = np.minimum(mine, other) * (n[row] + 1) + np.maximum(mine, other) + 1
     k = np.where(n[row] > 1, grams.mix(keys[row] ^ grams.mix(cell.astype(np.uint64))), keys[row])
     sig, aux, pos, frequent = (x[row] for x in meta)
-    pos = np.where((n[row] > 1) & (mine > other), pos | _OTHER_SIDE, pos).astype(np.int32)
     # a pair of different blocks holds two sides, of which only pairs across count; in (b, b) all do
-    pos = np.where((n[row] > 1) & (mine != other), pos | (_OTHER_SIDE >> 1), pos).astype(np.int32)
+    pos = np.where(mine != other, pos | np.uint16(_CROSS), pos)
+    pos = np.where(mine > other, pos | np.uint16(_SIDE), pos)
     return k, (sig, aux, pos, frequent)
 
 
 def postings(docs: DataFrame, p: JoinParams, hot: tuple[np.ndarray, np.ndarray], heavy_from: int, pids: list[int]) -> DataFrame:
-    """Second pass: for each reducer, packed postings (key, signature, aux, position); position -1 marks a 2-subset."""
+    """Second pass: for each reducer, packed postings (key, signature, aux, position or what marks a 2-subset)."""
     targets = np.array(pids, dtype=np.int64)
     border = p.least(heavy_from)
 
@@ -263,14 +263,15 @@ def postings(docs: DataFrame, p: JoinParams, hot: tuple[np.ndarray, np.ndarray],
             m = np.array(meta, dtype=np.int64)
             length = m[:, 2]
             sig, aux = np.repeat(m[:, 0], length), np.repeat(m[:, 1], length)
-            pos = (np.arange(len(key)) - np.repeat(np.cumsum(length) - length, length)).astype(np.int32)
-            pos[np.repeat(m[:, 3], length) == 1] = -1
+            pos = np.minimum(np.arange(len(key)) - np.repeat(np.cumsum(length) - length, length), _FAR).astype(np.uint16)
+            pos[np.repeat(m[:, 3], length) == 1] = _SUBSET
             keys.clear(), meta.clear(), counts.clear()
             held = 0
             key, (sig, aux, pos, frequent) = _split(key, (sig, aux, pos, count >= _SHARED), count, p.split)
-            # copies of one text meet in the lists of many frequent grams: on a quarter of the reducers, more of their pairs are combined before they travel
-            part = (key >> np.uint64(17)) % np.where(frequent, np.uint64(max(1, len(targets) // 4)), np.uint64(len(targets)))
-            yield from _packed(targets, part, ["key", "sig", "aux", "pos"], (key, sig, aux, pos))
+            # copies of one text meet in the lists of many frequent grams: on an eighth of the reducers, more of their pairs are combined before they travel
+            part = (key >> np.uint64(17)) % np.where(frequent, np.uint64(max(1, len(targets) // 8)), np.uint64(len(targets)))
+            part = part * np.uint64(_SUBS + 1) + np.where(frequent, np.uint64(1) + (key >> np.uint64(7)) % np.uint64(_SUBS), np.uint64(0))
+            yield from _packed(targets, part, ["key", "sig", "aux", "pos"], (key, sig, aux, pos), _SUBS + 1)
 
         for _, texts in _texts(batches):
             for s in grams.gram_sets(texts, p.n):
@@ -304,11 +305,11 @@ def postings(docs: DataFrame, p: JoinParams, hot: tuple[np.ndarray, np.ndarray],
     return docs.mapInArrow(run, "pid long, sub int, key binary, sig binary, aux binary, pos binary")
 
 
-def _scan(key: np.ndarray, sig: np.ndarray, aux: np.ndarray, pos: np.ndarray, t: float, heavy_from: int) -> Iterator[tuple[np.ndarray, ...]]:
-    """Pairs in the postings of whole lists: (signature and aux of either, what it counts)."""
-    if not len(key):
-        return
-    order = np.argsort(key, kind="stable")
+def _scan(key: np.ndarray, own: np.ndarray, size: np.ndarray, pos: np.ndarray, t: float, heavy_from: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """Pairs in the postings of whole lists: (number of either set, what it counts)."""
+    subset = pos == _SUBSET
+    key = (key << np.uint64(1)) | subset  # lists that meet by the lost bit only add candidates
+    order = np.argsort(key)
     first = np.flatnonzero(_edges(key[order]))
     alone = np.diff(np.append(first, len(key))) == 1
     keep = np.ones(len(key), dtype=bool)
@@ -316,17 +317,16 @@ def _scan(key: np.ndarray, sig: np.ndarray, aux: np.ndarray, pos: np.ndarray, t:
     order = order[keep]
     if not len(order):
         return
-    key, sig, aux, pos = key[order], sig[order], aux[order], pos[order]
-    size = _sizes(aux)
-    kind = pos >= 0
-    order = np.lexsort((sig, aux, size, kind, key))
-    key, sig, aux, pos, size, kind = (x[order] for x in (key, sig, aux, pos, size, kind))
-    once = _edges(key, kind, aux, sig)
-    key, sig, aux, pos, size, kind = (x[once] for x in (key, sig, aux, pos, size, kind))
-    cross = kind & (pos & (_OTHER_SIDE >> 1) != 0)
-    side = pos & _OTHER_SIDE
-    pos = pos & ((_OTHER_SIDE >> 1) - 1)
-    begins = np.flatnonzero(_edges(key, kind))
+    key, who, pos = key[order], (size[order].astype(np.uint64) << np.uint64(32)) | own[order].astype(np.uint64), pos[order]
+    order = np.lexsort((who, key))
+    key, who, pos = key[order], who[order], pos[order]
+    once = _edges(key, who)
+    key, who, pos = key[once], who[once], pos[once]
+    size, own = (who >> np.uint64(32)).astype(np.int64), (who & np.uint64(0xFFFFFFFF)).astype(np.int64)
+    subset = pos == _SUBSET
+    cross, side = pos & _CROSS != 0, pos & _SIDE
+    pos = (pos & 0x3FFF).astype(np.int64)
+    begins = np.flatnonzero(_edges(key))
     end = np.repeat(np.append(begins[1:], len(key)), np.diff(np.append(begins, len(key))))
     i, d = np.arange(len(key)), 0
     while len(i):
@@ -337,38 +337,84 @@ def _scan(key: np.ndarray, sig: np.ndarray, aux: np.ndarray, pos: np.ndarray, t:
         i, j = i[near], j[near]
         need = np.ceil(t / (1 + t) * (size[i] + size[j]) - 1e-9)
         most = np.minimum(pos[i], pos[j]) + np.minimum(size[i] - pos[i], size[j] - pos[j])
-        ok = ~kind[i] | ((size[j] >= heavy_from) & (most >= need) & (~cross[i] | (side[i] != side[j])))
+        ok = subset[i] | ((size[j] >= heavy_from) & (most >= need) & (~cross[i] | (side[i] != side[j])))
         a, b = i[ok], j[ok]
         if len(a):
-            yield sig[a], aux[a], sig[b], aux[b], np.where(kind[a], 1, _LIGHT)
-
-
-def _combined(out: list) -> tuple[np.ndarray, ...]:
-    """Pairs in one order, the lesser set first, each once with the sum of its counts."""
-    ia, xa, ib, xb, n = (np.concatenate(c) for c in zip(*out))
-    swap = (ib < ia) | ((ib == ia) & (xb < xa))
-    ia, ib, xa, xb = np.where(swap, ib, ia), np.where(swap, ia, ib), np.where(swap, xb, xa), np.where(swap, xa, xb)
+            yield own[a], own[b], np.where(subset[a], _LIGHT, 1)
+
+
+class _Met:
+    """Counts of pairs of sets; sets are numbered as they come, pairs are summed in sorted runs."""
+
+    def __init__(self) -> None:
+        self.sig, self.aux = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.code, self.n = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.raw: list[tuple[np.ndarray, np.ndarray]] = []
+        self.n_raw = 0
+
+    def numbers(self, sig: np.ndarray, aux: np.ndarray) -> np.ndarray:
+        """The number of each set."""
+        known = len(self.sig)
+        s, x = np.concatenate((self.sig, sig)), np.concatenate((self.aux, aux))
+        order = np.lexsort((np.arange(len(s)), x, s))
+        new = _edges(s[order], x[order])
+        first = order[new]  # the place where each set is first
+        number = np.where(first < known, first, 0)
+        number[first >= known] = known + np.arange(int((first >= known).sum()))
+        out = np.empty(len(s), dtype=np.int64)
+        out[order] = number[np.cumsum(new) - 1]
+        added = first[first >= known]
+        self.sig, self.aux = np.concatenate((self.sig, s[added])), np.concatenate((self.aux, x[added]))
+        return out[known:]
+
+    def add(self, a: np.ndarray, b: np.ndarray, n: np.ndarray) -> None:
+        self.raw.append(((np.minimum(a, b).astype(np.uint64) << np.uint64(32)) | np.maximum(a, b).astype(np.uint64), n))
+        self.n_raw += len(a)
+        if self.n_raw >= max(_PAIRS, len(self.code)):
+            self.merge()
+
+    def merge(self) -> None:
+        code, n = (np.concatenate(c) for c in zip((self.code, self.n), *self.raw))
+        self.raw, self.n_raw = [], 0
+        order = np.argsort(code)
+        code, n = code[order], n[order]
+        one = np.flatnonzero(_edges(code))
+        self.code, self.n = code[one], np.add.reduceat(n, one) if len(one) else n
+
+    def take(self) -> tuple[np.ndarray, ...]:
+        """(ia, xa, ib, xb, n) of all pairs, which are forgotten."""
+        self.merge()
+        a, b = (self.code >> np.uint64(32)).astype(np.int64), (self.code & np.uint64(0xFFFFFFFF)).astype(np.int64)
+        n = np.minimum(self.n, 1 << 30).astype(np.int32)
+        self.code, self.n = self.code[:0], self.n[:0]
+        ia, ib, xa, xb = self.sig[a], self.sig[b], self.aux[a], self.aux[b]
+        swap = (ib < ia) | ((ib == ia) & (xb < xa))
+        return np.where(swap, ib, ia), np.where(swap, xb, xa), np.where(swap, ia, ib), np.where(swap, xa, xb), n
+
+
+def _summed(ia: np.ndarray, xa: np.ndarray, ib: np.ndarray, xb: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Each pair once, with the sum of its counts."""
     o = np.lexsort((xb, ib, xa, ia))
     ia, xa, ib, xb, n = ia[o], xa[o], ib[o], xb[o], n[o]
     one = np.flatnonzero(_edges(ia, ib, xa, xb))
-    return ia[one], xa[one], ib[one], xb[one], np.minimum(np.add.reduceat(n.astype(np.int64), one), 1 << 30).astype(np.int32)
+    return ia[one], xa[one], ib[one], xb[one], np.add.reduceat(n.astype(np.int64), one)
 
 
-def _by_part(batches: Iterator[pa.RecordBatch], kinds: tuple) -> Iterator[tuple[np.ndarray, ...]]:
-    """The unpacked columns of all rows of one (pid, sub), for sorted batches."""
+def _by_part(batches: Iterator[pa.RecordBatch], kinds: tuple) -> Iterator[tuple]:
+    """(pid, unpacked columns) of all rows of one (pid, sub), for sorted batches."""
     at, parts = None, tuple([] for _ in kinds)
     for b in batches:
         for r in range(b.num_rows):
             key = b.column(0)[r].as_py(), b.column(1)[r].as_py()
             if at is not None and key != at:
-                yield tuple(np.concatenate(x) for x in parts)
+                yield at[0], *(np.concatenate(x) for x in parts)
                 for x in parts:
                     x.clear()
             at = key
             for x, c, kind in zip(parts, range(2, 2 + len(kinds)), kinds):
                 x.append(np.frombuffer(b.column(c)[r].as_py(), dtype=kind))
     if at is not None:
-        yield tuple(np.concatenate(x) for x in parts)
+        yield at[0], *(np.concatenate(x) for x in parts)
 
 
 def candidates(posted: DataFrame, p: JoinParams, heavy_from: int, pids: list[int]) -> DataFrame:
@@ -377,30 +423,27 @@ def candidates(posted: DataFrame, p: JoinParams, heavy_from: int, pids: list[int
     names = ["ia", "xa", "ib", "xb"]
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out: list = []
-        n = 0
+        at, met = None, _Met()
 
         def emit() -> Iterator[pa.RecordBatch]:
-            pairs = _combined(out)
-            out.clear()
+            pairs = met.take()
             h = grams.mix(pairs[0].view(np.uint64) + grams.mix(pairs[2].view(np.uint64)))
             yield from _packed(targets, h % np.uint64(len(targets) * _SUBS), [*names, "n"], pairs, _SUBS)
 
-        for key, sig, aux, pos in _by_part(batches, (np.uint64, np.int64, np.int64, np.int32)):
-            for part in range(_PARTS):
-                mine = (key >> np.uint64(40)) % np.uint64(_PARTS) == part
-                for c in _scan(key[mine], sig[mine], aux[mine], pos[mine], p.t, heavy_from):
-                    out.append(c)
-                    n += len(c[0])
-                    if n >= _PAIRS:
-                        yield from emit()
-                        n = 0
-        if out:
-            yield from emit()
+        for pid, key, sig, aux, pos in _by_part(batches, (np.uint64, np.int64, np.int64, np.uint16)):
+            if at is not None and pid != at:
+                yield from emit()
+                met = _Met()
+            at = pid
+            for pairs in _scan(key, met.numbers(sig, aux), _sizes(aux), pos, p.t, heavy_from):
+                met.add(*pairs)
+                if len(met.code) >= _HELD:
+                    yield from emit()
+        yield from emit()
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for cols in _by_part(batches, (np.int64, np.int64, np.int64, np.int64, np.int32)):
-            ia, xa, ib, xb, n = _combined([cols])
+        for _, *cols in _by_part(batches, (np.int64, np.int64, np.int64, np.int64, np.int32)):
+            ia, xa, ib, xb, n = _summed(*cols)
             ok = n >= np.maximum(1, np.floor(p.lead * np.minimum(_sizes(xa), _sizes(xb))))
             yield pa.RecordBatch.from_arrays([pa.array(x[ok]) for x in (ia, xa, ib, xb)], names=names)
 
