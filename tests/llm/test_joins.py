@@ -6,6 +6,7 @@ from itertools import combinations
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from sievework.llm import ngram_join as nj
 from sievework.llm import substrings, topk
@@ -183,32 +184,32 @@ def test_sliding_minimum():
     assert len(substrings.sliding_min(x, 51)) == 0
 
 
-@pytest.mark.parametrize("rows_in_block", [16, 4096])
-def test_top_k_is_exact(spark, rows_in_block):
+@pytest.mark.parametrize(("rows_in_block", "scale", "every"), [(16, 1.0, 1), (4096, 1.0, 1), (24, 1e6, 3)])
+def test_top_k_is_exact(spark, rows_in_block, scale, every):
     g = np.random.default_rng(1)
-    x = np.concatenate([g.normal(c, 0.1, (40, 5)) for c in (0, 3, 9)]).astype(np.float32)
-    x[7] = x[8]
+    x = (np.concatenate([g.normal(c, 0.1, (40, 5)) for c in (0, 3, 9)]) * scale).astype(np.float32)
+    x[7] = x[8] = x[30]
     data = [(i, [float(e) for e in v], "z") for i, v in enumerate(x)]
-    bad = [(None, data[0][1], "z"), (500, None, "z"), (501, [1.0], "z"), (502, [float("nan")] * 5, "z"), (503, [1.0, None, 1.0, 1.0, 1.0], "z"), data[3]]
+    bad = [(None, data[0][1], "z"), (500, None, "z"), (501, [1.0], "z"), (502, [float("nan")] * 5, "z"), (503, [1.0, None, 1.0, 1.0, 1.0], "z"), (504, [], "z"), data[3]]
     df = spark.createDataFrame([*data, *bad], "vec_id long, embedding array<float>, block string")
-    got = topk.nearest(df, p=topk.TopKParams(k=4, pivots=6, block_rows=rows_in_block, chunk=32)).collect()
+    got = topk.nearest(df, asks=F.col("id") % every == 0, p=topk.TopKParams(k=4, pivots=6, block_rows=rows_in_block, group=8)).collect()
     d = np.sqrt(((x[:, None].astype(float) - x[None].astype(float)) ** 2).sum(2)).round(9)
-    want = {(i, j, k + 1) for i in range(len(x)) for k, j in enumerate(sorted((j for j in range(len(x)) if j != i), key=lambda j: (d[i, j], j))[:4])}
-    assert {(r["id"], r["neighbour"], r["rank"]) for r in got} == want
+    want = {(i, j, k + 1) for i in range(0, len(x), every) for k, j in enumerate(sorted((j for j in range(len(x)) if j != i), key=lambda j: (d[i, j], j))[:4])}
+    assert {(r["id"], r["neighbour"], r["rank"]) for r in got} == want and len(got) == len(want)
 
 
 def test_top_k_of_few(spark):
     df = spark.createDataFrame([(1, [0.0, 1.0]), (2, [0.0, 3.0])], "vec_id long, embedding array<float>")
     assert sorted((r["id"], r["neighbour"], r["distance"]) for r in topk.nearest(df).collect()) == [(1, 2, 2.0), (2, 1, 2.0)]
     assert topk.nearest(df.limit(0)).count() == 0
+    assert topk.nearest(df, asks=F.col("id") > 5).count() == 0
 
 
 def test_pivots_eliminate_on_clustered_vectors():
     g = np.random.default_rng(2)
     x = np.concatenate([g.normal(c, 0.05, (200, 8)) for c in range(10)])
-    pivots = x[::200]
-    d = topk._distances(x, pivots).astype(np.float32)
-    s = topk._Search(np.arange(len(x)), x, d, 5, 256)
+    d = topk.pivot_distances(x, x[::200]).astype(np.float32)
+    s = topk.Search(np.arange(len(x)), x, d, 5)
     s.visit(np.arange(len(x)), x, d)
     assert s.evaluated < 0.2 * len(x) ** 2
 
