@@ -1,15 +1,24 @@
 """PII: format-preserving Feistel pseudonyms.
 
 Candidates are found with one pass of a combined pattern over the whole text and
-validated (Luhn, mod 97, octet and calendar ranges). A valid value is
-permuted by a keyed, unbalanced Feistel network over its own alphabet positions,
-walking the cycle until the permuted value passes the same validation. The
-permutation is a bijection of the valid values of a kind, so a value has the
-same pseudonym in every document, and whoever holds the key can invert it.
-
-Defined results: a null text stays null with zero counts; an empty text stays
-empty; values that fail validation are left as they are; repeated rows get equal
-results. All other columns are passed through untouched whatever their names.
+validated (Luhn, mod 97, octet and calendar ranges, country codes). Where a candidate
+fails, its shorter forms and the other kinds are tried at its place before the search moves on
+by one character. A valid value is reduced to what it says, apart from how it is
+written: a date to its day, a phone number to country code and digits, an address or
+a number to its digits and letters. That is permuted by a keyed, unbalanced Feistel network,
+walking the cycle until the permuted value passes the same validation, and is
+written in the layout of the original. The permutation is a bijection of the valid
+values of a kind, so a value has the same pseudonym in every document and in every
+layout, and whoever holds the key can invert it.
+
+The key comes from the setting ``spark.sievework.pii.key``. Where it is unset, a random key
+is drawn once a session: values stay linked within it, and nobody can invert them later.
+
+Defined results: a null text stays null with no values and no kinds; an empty text stays
+empty; values that fail validation are left as they are, and so are version numbers that look like
+addresses; a date of two readings is read day first, and a phone number without a country code
+as one of the North American plan; repeated rows get equal results; texts of any length are read whole.
+All other columns are passed through untouched whatever their names; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -17,6 +26,7 @@ from __future__ import annotations
 import datetime as dt
 import hashlib
 import re
+import secrets
 from collections.abc import Callable
 
 import pandas as pd
@@ -26,10 +36,11 @@ from pyspark.sql import functions as F
 from sievework.shared import table
 
 ROUNDS = 8
+KEY_SETTING = "spark.sievework.pii.key"
 KINDS = ("email", "iban", "card", "ssn", "phone", "ipv4", "date", "secret")
 RESULT = "text string, n_pii int, kinds array<string>"
 
-#: Alternatives in order of priority; a match is consumed by the first that validates.
+#: Alternatives in order of priority.
 _EMAIL = r"(?P<email>(?<![\w.+-])[A-Za-z0-9][A-Za-z0-9._+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,})"
 _SECRET = r"""(?P<secret>\bAKIA[0-9A-Z]{16}\b|(?i:\b(?:token|password|passwd|secret|api_?key)["']?\s*[=:]\s*["']?)[A-Za-z0-9_\-]{8,})"""
 _IBAN = r"(?P<iban>\b[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b)"
@@ -39,7 +50,14 @@ _CARD = r"(?P<card>(?<![\w-])[0-9](?:[ -]?[0-9]){12,18}(?![\w]|-[0-9]))"
 _SSN = r"(?P<ssn>(?<![\w-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-]))"
 _PHONE = r"(?P<phone>(?<![\w])(?:\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,4}(?:[ .-]?[0-9]{2,4}){1,4}|\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}|[0-9]{3}[.-][0-9]{3}[.-][0-9]{4})(?![\w]))"
 PATTERN = re.compile("|".join((_EMAIL, _SECRET, _IBAN, _DATE, _IPV4, _SSN, _CARD, _PHONE)))
-_TRIGGER = re.compile(r"[0-9@]|(?i:password|passwd|secret|token)")
+_SINGLE = {kind: re.compile(p) for kind, p in zip(("email", "secret", "iban", "date", "ipv4", "ssn", "card", "phone"), (_EMAIL, _SECRET, _IBAN, _DATE, _IPV4, _SSN, _CARD, _PHONE))}
+TRIGGER = r"[0-9@]|AKIA|(?i:password|passwd|secret|token|api_?key)"
+_TRIGGER = re.compile(TRIGGER)
+_CARD_GROUPS = re.compile(r"[0-9]{13,19}|[0-9]{4}(?:([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{4}|[ -][0-9]{6}[ -][0-9]{5})")  # of cards that other digits follow
+_VERSION = re.compile(r"(?i)(?:\b(?:v|ver|version|release|rev|build|section|chapter|kernel|firmware)\.?|§)\s*\Z")
+#: Country calling codes: of one digit, of two, and all others that begin with 2-9 of three.
+_CODES_1 = frozenset("17")
+_CODES_2 = frozenset("20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98".split())
 _SECRET_VALUE = re.compile(r"[A-Za-z0-9_\-]{8,}\Z")
 _EPOCH = dt.date(1900, 1, 1).toordinal()
 _DAYS = dt.date(2100, 1, 1).toordinal() - _EPOCH
@@ -143,14 +161,14 @@ def _date_parts(v: str) -> tuple[dt.date, str] | None:
 
 
 def _date(v: str, key: bytes, inverse: bool) -> str:
+    """Days up to the 12th are permuted among themselves, so that a month-first date can be told from its layout before and after."""
     day, layout = _date_parts(v)
     x = day.toordinal() - _EPOCH
     while True:
         x = feistel(x, 271, 271, key, b"date|", inverse)
         if x < _DAYS:
             d = dt.date.fromordinal(_EPOCH + x)
-            # month-first dates exist only for days past the 12th, so that the layout can be read back
-            if layout != "%m/%d/%Y" or d.day > 12:
+            if (d.day > 12) == (day.day > 12):
                 return d.strftime(layout)
 
 
@@ -167,15 +185,26 @@ def _ssn_ok(v: str) -> bool:
     return a not in ("000", "666") and a[0] != "9" and g != "00" and s != "0000"
 
 
-def _phone_head(v: str) -> int:
-    """Length of the country code, which stays."""
-    return re.match(r"\+[0-9]{1,3}[ .(-]|\+[0-9]|", v).end()
+def _phone_parts(v: str) -> tuple[str, str, list[int]] | None:
+    """(country code, national digits, their places in ``v``); a trunk zero in brackets is no digit of the number."""
+    trunk = {i + 1 for i in range(len(v) - 2) if v[i : i + 3] == "(0)"}
+    spots = [i for i, c in enumerate(v) if c.isdigit() and i not in trunk]
+    digits = "".join(v[i] for i in spots)
+    code = "1"
+    if v.startswith("+"):
+        n = 1 if digits[:1] in _CODES_1 else 2 if digits[:2] in _CODES_2 else 3
+        if digits.startswith("0"):
+            return None
+        code, digits, spots = digits[:n], digits[n:], spots[n:]
+    return (code, digits, spots) if 6 <= len(digits) and len(code) + len(digits) <= 15 else None
 
 
 def _phone(v: str, key: bytes, inverse: bool) -> str:
-    n = _phone_head(v)
-    digits = permute_chars(_bare(v[n:]), key, "phone", inverse)
-    return v[:n] + _refill(v[n:], digits)
+    code, digits, spots = _phone_parts(v)
+    out = list(v)
+    for i, c in zip(spots, permute_chars(digits, key, "phone" + code, inverse)):
+        out[i] = c
+    return "".join(out)
 
 
 def _secret_head(v: str) -> str:
@@ -198,8 +227,12 @@ def _secret_walk(v: str, key: bytes, inverse: bool) -> str:
 
 
 def _email(v: str, key: bytes, inverse: bool) -> str:
-    local, _, domain = v.partition("@")
-    return f"{permute_chars(local, key, 'email|' + domain.lower(), inverse)}@{domain}"
+    """The name is permuted for its domain, and the domain but for its last label."""
+    local, _, domain = v.rpartition("@")
+    host, _, top = domain.rpartition(".")
+    other = permute_chars(host, key, "domain|" + top.lower(), inverse)
+    plain = (other if inverse else host).lower()
+    return f"{permute_chars(local, key, f'email|{plain}.{top.lower()}', inverse)}@{other}.{top}"
 
 
 #: kind -> (is the matched text a value of that kind, its permutation)
@@ -208,7 +241,7 @@ RULES: dict[str, tuple[Callable[[str], bool], Callable[[str, bytes, bool], str]]
     "iban": (_iban_ok, _iban),
     "card": (_card_ok, _card),
     "ssn": (_ssn_ok, lambda v, key, inv: permute_chars(v, key, "ssn", inv)),
-    "phone": (lambda v: 7 <= len(_bare(v)) <= 15, _phone),
+    "phone": (lambda v: _phone_parts(v) is not None, _phone),
     "ipv4": (lambda v: all(len(o) == len(str(int(o))) and int(o) < 256 for o in v.split(".")), _ipv4),
     "date": (lambda v: _date_parts(v) is not None, _date),
     "secret": (lambda v: True, _secret_walk),
@@ -230,23 +263,47 @@ def scrub(text: str | None, key: bytes, inverse: bool = False, memo: dict | None
         return text, 0, []
     memo = {} if memo is None else memo
     kinds: list[str] = []
-
-    def replace(m: re.Match) -> str:
-        kind, v = m.lastgroup, m.group()
+    out: list[str] = []
+    done = at = 0
+    while m := PATTERN.search(text, at):
+        found = _valid(text, m.start(), m.lastgroup, m.group())
+        if found is None:
+            at = m.start() + 1
+            continue
+        kind, v = found
         if (kind, v) not in memo:
-            memo[kind, v] = pseudonym(v, kind, key, inverse) if RULES[kind][0](v) else None
-        new = memo[kind, v]
-        if new is None:
-            return v
+            memo[kind, v] = pseudonym(v, kind, key, inverse)
+        out += [text[done : m.start()], memo[kind, v]]
+        done = at = m.start() + len(v)
         kinds.append(kind)
-        return new
+    return "".join([*out, text[done:]]), len(kinds), sorted(set(kinds))
+
+
+def _valid(text: str, at: int, kind: str, v: str) -> tuple[str, str] | None:
+    """(kind, value) of what is valid at a place: the match itself, then its shorter forms, then other kinds with theirs."""
+    if _accepted(text, at, kind, v):
+        return kind, v
+    for other, pattern in _SINGLE.items():
+        m = pattern.match(text, at)
+        while m:
+            short = m.group()
+            if (other, short) != (kind, v) and _ends(text, m.end()) and _accepted(text, at, other, short) and (other != "card" or _CARD_GROUPS.fullmatch(short)):
+                return other, short
+            m = pattern.match(text, at, m.end() - 1) if other in ("iban", "card") else None
+    return None
+
 
-    out = PATTERN.sub(replace, text)
-    return out, len(kinds), sorted(set(kinds))
+def _ends(text: str, at: int) -> bool:
+    """Whether no word and no hyphenated number goes on here."""
+    return not re.match(r"\w|-[0-9]", text[at : at + 2])
+
+
+def _accepted(text: str, at: int, kind: str, v: str) -> bool:
+    return RULES[kind][0](v) and not (kind == "ipv4" and _VERSION.search(text[max(0, at - 16) : at]))
 
 
 def scrubbed(text: Column, key: str, memo_size: int = 50_000) -> Column:
-    """struct(text, n_pii, kinds) of a text column; one Arrow batch at a time."""
+    """struct(text, n_pii, kinds) of a text column; one Arrow batch at a time. Texts without any trigger stay in the JVM."""
     secret = hashlib.blake2b(key.encode(), digest_size=32).digest()
 
     @F.pandas_udf(RESULT)
@@ -259,7 +316,18 @@ def scrubbed(text: Column, key: str, memo_size: int = 50_000) -> Column:
             rows.append(scrub(t, secret, memo=memo))
         return pd.DataFrame(rows, columns=["text", "n_pii", "kinds"])
 
-    return run(text)
+    done = run(F.when(text.rlike(TRIGGER), text))
+    none = F.array().cast("array<string>")
+    return F.struct(F.coalesce(done["text"], text).alias("text"), F.coalesce(done["n_pii"], F.lit(0)).alias("n_pii"), F.coalesce(done["kinds"], none).alias("kinds"))
+
+
+def session_key(spark: SparkSession) -> str:
+    """The key of the setting, or one drawn for this session."""
+    key = spark.conf.get(KEY_SETTING, None)
+    if not key:
+        key = secrets.token_hex(32)
+        spark.conf.set(KEY_SETTING, key)
+    return key
 
 
 def pseudonymise(docs: DataFrame, key: str, text_col: str = "text") -> DataFrame:
@@ -270,5 +338,5 @@ def pseudonymise(docs: DataFrame, key: str, text_col: str = "text") -> DataFrame
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its pseudonymised text, the number of values replaced and their kinds."""
     docs = table(spark, sf_dir, "documents")
-    done = docs.select("doc_id", scrubbed(F.col("text"), "corpus-key-1").alias("r"))
+    done = docs.select("doc_id", scrubbed(F.col("text"), session_key(spark)).alias("r"))
     return done.select("doc_id", "r.text", "r.n_pii", "r.kinds")

@@ -1,6 +1,8 @@
 """Pseudonyms, mixing and packing against round trips, sums and exhaustive search."""
 
+import datetime as dt
 import random
+import re
 from collections import Counter, defaultdict
 
 import pytest
@@ -41,10 +43,75 @@ def test_equal_values_stay_linked_and_clean_texts_stay(spark):
     t = {r["doc_id"]: r["text"] for r in got}
     assert len(got) == len(rows) and list(got[0]) == ["doc_id", "text", "n_pii"]
     mail = t[1].split()[1]
-    assert mail != "ann@example.org" and mail.endswith("@example.org") and t[2] == f"{mail} again"
+    assert mail != "ann@example.org" and re.fullmatch(r"[a-z]{3}@[a-z]{7}\.org", mail) and t[2] == f"{mail} again"
     assert t[3] == rows[2][1] and t[4] is None and t[5] == "" and t[6] == rows[6][1]
 
 
+def scrubbed_value(text, before, after=""):
+    new, n, _ = pii.scrub(text, KEY)
+    assert n == 1 and new.startswith(before) and new.endswith(after) and new != text
+    return new[len(before) : len(new) - len(after)]
+
+
+def test_values_are_linked_in_all_layouts():
+    r = random.Random(2)
+    for _ in range(60):
+        d = dt.date(1950, 1, 1) + dt.timedelta(r.randrange(40_000))
+        layouts = ["%Y-%m-%d", "%Y/%m/%d", "%d.%m.%Y", "%d/%m/%Y"] + ["%m/%d/%Y"] * (d.day > 12)
+        got = {dt.datetime.strptime(scrubbed_value(f"on {d.strftime(f)}.", "on ", "."), f).date() for f in layouts}
+        assert len(got) == 1 and got != {d}
+    for same in (["+49 30 1234567", "+49301234567", "+49 (0)30 1234567", "+49 (30) 123-4567"], ["+1 555 123 4567", "(555) 123-4567", "555.123.4567", "555-123-4567", "+15551234567"]):
+        bare = {re.sub(r"\(0\)|\D", "", scrubbed_value(f"call {v} now", "call ", " now")).removeprefix("1" if "5551" in re.sub(r"\D", "", v) and v.startswith("+") else "") for v in same}
+        assert len(bare) == 1, bare
+    card = {re.sub(r"\D", "", scrubbed_value(f"no {v};", "no ", ";")) for v in ("4111 1111 1111 1111", "4111-1111-1111-1111", "4111111111111111")}
+    assert len(card) == 1
+
+
+@pytest.mark.parametrize(
+    ("text", "before", "after"),
+    [
+        ("paid 4111 1111 1111 1111 12/26", "paid ", " 12/26"),
+        ("paid 4111 1111 1111 1111 123", "paid ", " 123"),
+        ("ref 1234 4111 1111 1111 1111", "ref 1234 ", ""),
+        ("GB82WEST12345698765432 SEND", "", " SEND"),
+        ("to DE89 3704 0044 0532 0130 00 BANK", "to ", " BANK"),
+        ("api_key = abcdefghij", "api_key = ", ""),
+        ("host 10.1.2.3 up", "host ", " up"),
+    ],
+)
+def test_values_are_found_beside_others(text, before, after):
+    assert scrubbed_value(text, before, after)
+
+
+@pytest.mark.parametrize("text", ["version 1.2.3.4", "v1.2.3.4 is out", "release 10.0.0.1", "9999 9999 9999 9999", "4111 1111 1111 1112", "300.1.1.1", "2021-02-30", "000-12-3456", "DE00 3704 0044 0532 0130 00", "12345678901234567", "a b c"])
+def test_what_is_not_valid_stays(text):
+    assert pii.scrub(text, KEY) == (text, 0, [])
+
+
+def test_planted_values_are_all_found_among_words():
+    """Each valid value goes, and nothing else; a brute-force list of what was planted tells which."""
+    r = random.Random(6)
+    planted = [v for k, vs in VALUES.items() for v in vs if pii.PATTERN.fullmatch(v) and pii.RULES[k][0](v)]
+    for _ in range(200):
+        parts = [r.choice([*planted, "word", "Another", "12", "3.5", "(x)"]) for _ in range(r.randrange(12))]
+        text = " ; ".join(parts)
+        new, n, _ = pii.scrub(text, KEY)
+        assert n == sum(x in planted for x in parts)
+        assert [a for a, b in zip(parts, new.split(" ; ")) if a != b] == [x for x in parts if x in planted]
+    long = "lorem " * 300_000 + "ann@example.org"
+    assert pii.scrub(long, KEY)[1] == 1 and pii.scrub(long, KEY)[0][: 6 * 300_000] == long[: 6 * 300_000]
+
+
+def test_the_key_is_a_setting(spark):
+    before = spark.conf.get(pii.KEY_SETTING, None)
+    spark.conf.unset(pii.KEY_SETTING)
+    drawn = pii.session_key(spark)
+    assert len(drawn) == 64 and pii.session_key(spark) == drawn
+    spark.conf.set(pii.KEY_SETTING, "mine")
+    assert pii.session_key(spark) == "mine"
+    spark.conf.set(pii.KEY_SETTING, before or drawn)
+
+
 SOURCES = [f"src{i}" for i in range(6)] + [None, "odd"]
 
 
