@@ -22,13 +22,13 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays; copies with one word in nine edited are below 0.6."""
-    return ngram_join.one_of_each_group(docs, ngram_join.JoinParams(t=0.51))
+    """One document of each group of near copies stays; similar from 0.51 on."""
+    return ngram_join.one_of_each_group(docs)
 
 
 def pseudonymise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data gets pseudonyms of its own format; n_chars follows the text."""
-    return pii.pseudonymise(docs, "corpus-key-1").withColumn("n_chars", F.length("text").cast("long"))
+    return pii.pseudonymise(docs, pii.session_key(spark)).withColumn("n_chars", F.length("text").cast("long"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
