@@ -192,13 +192,43 @@ def test_packing_is_optimal_on_small_sets():
     for _ in range(300):
         c = r.choice([20, 50, 100])
         s = sorted((r.randint(1, c * 2 // 3) for _ in range(r.randint(1, 10))), reverse=True)
-        got = packing.pack(s, c, 200_000)
+        got = packing.pack(s, c)
         assert sorted(sum(got, [])) == list(range(len(s))) and all(sum(s[i] for i in b) <= c for b in got)
         assert len(got) == least_bins(s, c)
         better += len(got) < len(packing.best_fit(s, c))
     assert better
 
 
+def test_the_search_beats_best_fit_on_triplets():
+    """Sizes that fill 20 sequences in threes alone: best fit takes more, the search finds the 20 by the production limit."""
+    r = random.Random(3)
+    for _ in range(4):
+        s = []
+        for _ in range(20):
+            a = r.randint(513, 994)
+            b = r.randint(513, 2048 - a - 513)
+            s += [a, b, 2048 - a - b]
+        s.sort(reverse=True)
+        x = packing.solve(s, 2048)
+        assert len(packing.best_fit(s, 2048)) > 20 and len(x.bins) == x.bound == 20 and x.ended == "bound"
+        assert sorted(sum(x.bins, [])) == list(range(60)) and all(sum(s[i] for i in b) <= 2048 for b in x.bins)
+
+
+def test_many_small_items_in_a_large_bin():
+    x = packing.solve([3] * 20_000, 8192)
+    assert len(x.bins) == 8 and x.ended == "bound" or x.ended == "exhausted"
+    assert sorted(sum(packing.pack([7000] * 5 + [1190] * 5 + [1] * 9, 8192), [])) == list(range(19))
+    assert packing.solve([], 10).bins == [] and packing.lower_bound([], 10) == 0
+
+
+def test_the_lower_bound_is_one():
+    r = random.Random(8)
+    for _ in range(200):
+        c = r.choice([10, 30, 100])
+        s = sorted((r.randint(1, c) for _ in range(r.randint(1, 9))), reverse=True)
+        assert -(-sum(s) // c) <= packing.lower_bound(s, c) <= least_bins(s, c)
+
+
 def test_every_token_is_in_one_sequence(spark):
     rows = [*documents(seed=4), (900, "w " * 5000, "en", "src0", 1)]
     p = packing.PackParams(capacity=256, block_bins=8)
