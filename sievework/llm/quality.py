@@ -9,13 +9,14 @@ term allows for the sampling noise of n counts; each test applies only from a
 minimum length of the document and of the reference.
 
 The common words of a language are exactly the words whose share of its words is
-at least ``phi``. They are found without shuffling the vocabulary: such a word
-has at least that share in some partition, so the words that pass locally are a
-complete list of candidates, of which a second pass takes exact counts.
+at least ``phi``, so there are at most 1 / phi. One pass counts the words and characters
+of each partition; the counts of a word are added up by the cluster, and only common words
+of languages with a reference leave it.
 
 Defined results: null, empty and short texts are kept with null distances (no
 evidence); a null language forms a group of its own; an empty table gives an
-empty result; repeated rows get equal results.
+empty result; repeated rows get equal results; texts of any length are counted whole. Only doc_id,
+lang and text are read, whatever other columns there are.
 """
 
 from __future__ import annotations
@@ -31,7 +32,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievework.shared import table
+from sievework.shared import stored, table
 
 WORD = re.compile(r"[^\W\d_]+")
 CLASSES = ("lower", "upper", "letter", "mark", "digit", "space", "sentence", "punctuation", "symbol", "other")
@@ -83,75 +84,45 @@ def js_distance(p: np.ndarray, q: np.ndarray) -> float:
     return max(0.0, (part(p) + part(q)) / 2) ** 0.5
 
 
-def common_words(docs: DataFrame, rules: QualityRules) -> tuple[dict, dict]:
-    """({lang: {common word: count}}, {lang: (words in all, character histogram)}) over all of ``docs`` (lang, text)."""
+def counts(docs: DataFrame, block: int = 500_000) -> DataFrame:
+    """(lang, word, n) over all of ``docs`` (lang, text); word is null for all words, and "#k" for characters of class k."""
 
-    def candidates(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        counts: dict = defaultdict(Counter)
-        kept: dict = defaultdict(set)
-        totals: Counter = Counter()
+    def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        words: dict = defaultdict(Counter)
+        chars: dict = defaultdict(lambda: np.zeros(len(CLASSES), dtype=np.int64))
 
-        def flush(lang) -> None:
-            n = sum(counts[lang].values())
-            kept[lang].update(w for w, c in counts[lang].items() if c >= rules.phi * n)
-            counts[lang].clear()
+        def flush() -> pd.DataFrame:
+            rows = [(lang, w, n) for lang, c in words.items() for w, n in c.items()]
+            rows += [(lang, None, sum(c.values())) for lang, c in words.items()]
+            rows += [(lang, f"#{k}", int(n)) for lang, c in chars.items() for k, n in enumerate(c) if n]
+            words.clear(), chars.clear()
+            return pd.DataFrame(rows, columns=["lang", "word", "n"])
 
         for pdf in it:
             for lang, text in zip(pdf["lang"], pdf["text"]):
                 if text:
-                    counts[lang].update(WORD.findall(text.lower()))
-                    totals[lang] += 1
-                    if len(counts[lang]) > 500_000:  # a block of its own: the argument holds for any blocks
-                        flush(lang)
-        for lang in list(counts):
-            flush(lang)
-        rows = [(lang, w) for lang in kept for w in sorted(kept[lang])]
-        yield pd.DataFrame(rows, columns=["lang", "word"])
-
-    found = docs.mapInPandas(candidates, "lang string, word string").distinct().collect()
-    wanted: dict = defaultdict(set)
-    for r in found:
-        wanted[r["lang"]].add(r["word"])
-    wanted = dict(wanted)
-
-    def exact(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        counts: dict = defaultdict(Counter)
-        for pdf in it:
-            for lang, text in zip(pdf["lang"], pdf["text"]):
-                if text:
-                    all_words = Counter(WORD.findall(text.lower()))
-                    mine = counts[lang]
-                    for w in all_words.keys() & wanted.get(lang, ()):
-                        mine["w", w] += all_words[w]
-                    mine["n", ""] += sum(all_words.values())
-                    for k, n in enumerate(char_histogram(text)):
-                        mine["c", str(k)] += int(n)
-        rows = [(lang, kind, key, n) for lang, c in counts.items() for (kind, key), n in c.items()]
-        yield pd.DataFrame(rows, columns=["lang", "kind", "key", "n"])
-
-    totals = docs.mapInPandas(exact, "lang string, kind string, key string, n long").groupBy("lang", "kind", "key").agg(F.sum("n").alias("n")).collect()
-    chars: dict = defaultdict(lambda: np.zeros(len(CLASSES)))
-    n_words: dict = {}
-    counts: dict = defaultdict(dict)
-    for r in totals:
-        if r["kind"] == "n":
-            n_words[r["lang"]] = r["n"]
-        elif r["kind"] == "c":
-            chars[r["lang"]][int(r["key"])] = r["n"]
-        else:
-            counts[r["lang"]][r["key"]] = r["n"]
-    common = {lang: {w: c for w, c in sorted(counts[lang].items()) if c >= rules.phi * n_words[lang]} for lang in n_words}
-    return common, {lang: (n_words[lang], chars[lang]) for lang in n_words}
+                    words[lang].update(WORD.findall(text.lower()))
+                    chars[lang] += char_histogram(text)
+            if sum(map(len, words.values())) > block:
+                yield flush()
+        yield flush()
+
+    return docs.select("lang", "text").mapInPandas(run, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
 
 
 def references(docs: DataFrame, rules: QualityRules) -> dict:
     """lang -> (words in all, character histogram, index of common words, word histogram)."""
-    common, totals = common_words(docs.select("lang", "text"), rules)
+    every = stored(counts(docs), "quality-counts")
+    total = every.where(F.col("word").isNull() & (F.col("n") >= max(1, rules.min_reference_words))).select(F.col("lang").alias("g"), F.col("n").alias("total"))
+    mine = every.join(total, F.col("lang").eqNullSafe(F.col("g"))).where(F.col("word").isNull() | F.col("word").startswith("#") | (F.col("n") >= F.lit(rules.phi) * F.col("total")))
+    found: dict = defaultdict(dict)
+    for r in mine.select("lang", "word", "n").collect():  # at most 1 / phi + 11 rows a language of min_reference_words
+        found[r["lang"]][r["word"]] = r["n"]
     out = {}
-    for lang, (n, chars) in totals.items():
-        words = common[lang]
-        hist = np.array([*words.values(), n - sum(words.values())], dtype=float)
-        out[lang] = (n, chars, {w: i for i, w in enumerate(words)}, hist)
+    for lang, by in found.items():
+        words = {w: n for w, n in sorted((w, n) for w, n in by.items() if w is not None and not w.startswith("#"))}
+        chars = np.array([by.get(f"#{k}", 0) for k in range(len(CLASSES))], dtype=float)
+        out[lang] = (by[None], chars, {w: i for i, w in enumerate(words)}, np.array([*words.values(), by[None] - sum(words.values())], dtype=float))
     return out
 
 
@@ -166,9 +137,10 @@ def measure(text: str | None, ref: tuple | None, rules: QualityRules) -> tuple:
         if len(text) >= max(1, rules.min_chars):
             js_chars = js_distance(char_histogram(text), chars)
         if len(found) >= max(1, rules.min_words):
-            own = np.zeros(len(hist))
-            for w, c in Counter(found).items():
-                own[index.get(w, -1)] += c
+            own, mine = np.zeros(len(hist)), Counter(found)
+            for w in index.keys() & mine.keys():
+                own[index[w]] = mine[w]
+            own[-1] = len(found) - own[:-1].sum()
             js_words = js_distance(own, hist)
     return len(text), len(found), js_chars, js_words
 

@@ -55,7 +55,7 @@ def test_js_distance():
 def test_common_words_are_exact_in_any_partitioning(spark):
     texts = [" ".join(R.choice(NEUTRAL[: 3 + i % 40]) for _ in range(50)) for i in range(60)]
     rows = [(i, t, "en" if i % 3 else None) for i, t in enumerate(texts)] + [(90, None, "en"), (91, "", "en")]
-    rules = quality.QualityRules(phi=0.02)
+    rules = quality.QualityRules(phi=0.02, min_reference_words=1)
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     want: dict = {}
     for _, t, lang in rows:
@@ -64,7 +64,10 @@ def test_common_words_are_exact_in_any_partitioning(spark):
             want[lang][w] += 1
     want = {g: {w: n for w, n in c.items() if n >= 0.02 * sum(c.values())} for g, c in want.items()}
     for n in (1, 5):
-        assert quality.common_words(df.repartition(n).select("lang", "text"), rules)[0] == want
+        refs = quality.references(df.repartition(n), rules)
+        assert {g: {w: hist[i] for w, i in index.items()} for g, (_, _, index, hist) in refs.items()} == want
+        assert all(hist.sum() == n_words and chars.sum() == sum(len(t or "") for _, t, lang in rows if lang == g) for g, (n_words, chars, _, hist) in refs.items())
+    assert quality.references(df.limit(0), rules) == {}
 
 
 def test_junk_is_far_from_its_language(spark):
