@@ -6,14 +6,17 @@ host's suffix (its share of all URLs, and its smoothed share of bad ones among t
 labelled). Trees are grown on the logistic loss by histogram splits with Newton leaves;
 the fitted model is compiled to CASE expressions, so scoring stays in the JVM.
 
-Training uses at most ``max_train_rows`` labelled URLs (those least by a seeded
-hash, a documented parameter); suffix shares are counted over all URLs, and all are scored.
+Training uses about ``max_train_rows`` labelled URLs (a documented parameter): those whose
+seeded hash is under the threshold that lets so many of all labelled rows pass. The share of bad
+ones of a suffix is taken, for a training row, over the other folds of the sample, so a row's own
+label isn't in its features. Suffix shares are counted over all URLs, and all are scored.
 
 Defined results: a null or blank URL has a null score and is not kept; a URL
 without scheme is read as host and path; repeated rows get equal scores; a URL
 labelled more than once takes its largest label, and labels that are null or not 0/1
 are ignored; with labels of one class only, every URL scores that class's prior and
-is kept. Only page_id and url are read, whatever other columns there are.
+is kept; URLs of any length are read whole; equal hashes are taken or left together; an empty table gives no
+rows. Only page_id and url are read, whatever other columns there are.
 """
 
 from __future__ import annotations
@@ -155,24 +158,45 @@ def features(p: DataFrame, shares: DataFrame) -> tuple[DataFrame, list[str]]:
 def suffix_shares(p: DataFrame) -> DataFrame:
     """The share of all URLs with each suffix."""
     counts = p.where("u IS NOT NULL").groupBy(F.col("suffix").alias("s")).agg(F.count("*").alias("n"))
-    total = counts.agg(F.sum("n").alias("total"))
-    return counts.crossJoin(total).select("s", (F.col("n") / F.col("total")).alias("f_suffix_share"))
+    total = p.where("u IS NOT NULL").count()
+    return counts.select("s", (F.col("n") / F.lit(max(total, 1))).alias("f_suffix_share"))
 
 
-def train(feats: DataFrame, names: list[str], labels: DataFrame, p: UrlParams) -> Trees:
+def sampled(labels: DataFrame, p: UrlParams) -> Column:
+    """Whether a url is under the threshold of the sample."""
+    share = min(1.0, p.max_train_rows / max(labels.count(), 1))
+    return F.pmod(F.xxhash64(F.lit(p.seed), "url"), F.lit(1 << 30)) < F.lit(int(share * (1 << 30)))
+
+
+def suffix_rates(suffixes: list[str], y: np.ndarray, prior: float) -> dict[str, float]:
+    """The smoothed share of bad ones of each suffix that occurs often enough."""
+    count: dict[str, list[float]] = {}
+    for s, label in zip(suffixes, y):
+        c = count.setdefault(s, [0.0, 0.0])
+        c[0] += label
+        c[1] += 1
+    return {s: float((a + 20 * prior) / (n + 20)) for s, (a, n) in count.items() if n >= 20}
+
+
+def train(feats: DataFrame, names: list[str], labels: DataFrame, p: UrlParams, folds: int = 5) -> Trees:
     """Fit on ``labels`` (url, label)."""
-    y = labels.where(F.col("label").isin(0, 1) & F.col("url").isNotNull()).groupBy("url").agg(F.max("label").alias("label"))
-    rows = feats.where("u IS NOT NULL").join(y, "url").groupBy("url").agg(F.max("label").alias("label"), F.any_value("suffix").alias("suffix"), *[F.any_value(n).alias(n) for n in names])
-    got = rows.orderBy(F.xxhash64(F.lit(p.seed), "url"), "url").limit(p.max_train_rows).toPandas()
+    labels = labels.where(F.col("label").isin(0, 1) & F.col("url").isNotNull())
+    mine = sampled(labels, p)
+    y = labels.where(mine).groupBy("url").agg(F.max("label").alias("label"))
+    rows = feats.where(F.col("u").isNotNull() & mine).join(y, "url").groupBy("url").agg(F.max("label").alias("label"), F.any_value("suffix").alias("suffix"), *[F.any_value(n).alias(n) for n in names])
+    got = rows.toPandas().sort_values("url", kind="stable")
     y = got["label"].to_numpy(dtype=float)
     if not len(y) or y.min() == y.max():
         return Trees([*names, "f_suffix_rate"], threshold=1.0)
     prior = float(y.mean())
-    by = got.groupby("suffix")["label"].agg(["sum", "count"])
-    rates = {s: float((a + 20 * prior) / (n + 20)) for s, a, n in by[by["count"] >= 20].itertuples()}
-    x = np.column_stack([got[names].to_numpy(dtype=float), [rates.get(s, prior) for s in got["suffix"]]])
-    model = fit(x, y, [*names, "f_suffix_rate"], p)
-    model.suffix_rate, model.prior, model.threshold = rates, prior, p.threshold
+    suffixes = list(got["suffix"])
+    fold = np.arange(len(y)) % folds
+    rate = np.full(len(y), prior)
+    for k in range(folds):
+        others = suffix_rates([s for s, f in zip(suffixes, fold) if f != k], y[fold != k], prior)
+        rate[fold == k] = [others.get(s, prior) for s, f in zip(suffixes, fold) if f == k]
+    model = fit(np.column_stack([got[names].to_numpy(dtype=float), rate]), y, [*names, "f_suffix_rate"], p)
+    model.suffix_rate, model.prior, model.threshold = suffix_rates(suffixes, y, prior), prior, p.threshold
     return model
 
 
