@@ -49,13 +49,14 @@ from sievework.llm import grams
 from sievework.shared import stored, table
 
 _FLUSH = 1 << 19
-_SUBS = 4  # a reducer scans its long lists in so many parts, and sums its pairs likewise, to bound its memory
+_SUBS = 4  # a reducer scans its long lists in so many parts, to bound its memory
 _PAIRS = 1 << 19
 _HELD = 1 << 22  # pairs that a reducer combines before they travel
 _SHARED = 64  # count from which a gram's list goes to the reducers for frequent grams
 _SLICE = 512  # texts that are Python strings at a time
 _HOT_BLOCK = 1 << 21
-_LIGHT = 1 << 20  # a 2-subset in common is enough
+_LIGHT = 60_000  # a 2-subset in common is enough
+_MOST = 30_000  # keys in common that are enough for sets of any size
 _SIZE_BITS = 28
 _SUBSET, _CROSS, _SIDE, _FAR = 0xFFFF, 0x8000, 0x4000, 0x3FFE  # a position is cut at _FAR, which only weakens its bound
 _DOC, _HOT, _SIZE, _BLOCKS = range(4)
@@ -381,15 +382,23 @@ class _Met:
         one = np.flatnonzero(_edges(code))
         self.code, self.n = code[one], np.add.reduceat(n, one) if len(one) else n
 
-    def take(self) -> tuple[np.ndarray, ...]:
-        """(ia, xa, ib, xb, n) of all pairs, which are forgotten."""
+    def take(self, targets: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """All pairs, which are forgotten: one row for each target that the first set's hash has, with a table of its sets and the pairs as places in it."""
         self.merge()
         a, b = (self.code >> np.uint64(32)).astype(np.int64), (self.code & np.uint64(0xFFFFFFFF)).astype(np.int64)
-        n = np.minimum(self.n, 1 << 30).astype(np.int32)
+        n = np.minimum(self.n, 0xFFFF).astype(np.uint16)
         self.code, self.n = self.code[:0], self.n[:0]
-        ia, ib, xa, xb = self.sig[a], self.sig[b], self.aux[a], self.aux[b]
-        swap = (ib < ia) | ((ib == ia) & (xb < xa))
-        return np.where(swap, ib, ia), np.where(swap, xb, xa), np.where(swap, ia, ib), np.where(swap, xa, xb), n
+        swap = (self.sig[b] < self.sig[a]) | ((self.sig[b] == self.sig[a]) & (self.aux[b] < self.aux[a]))
+        a, b = np.where(swap, b, a), np.where(swap, a, b)
+        part = (grams.mix(self.sig[a].view(np.uint64)) % np.uint64(len(targets))).astype(np.int64)
+        order = np.lexsort((b, a, part))
+        cuts = np.searchsorted(part[order], np.arange(len(targets) + 1))
+        for i in np.flatnonzero(np.diff(cuts)):
+            o = order[cuts[i] : cuts[i + 1]]
+            sets, at = np.unique(np.concatenate((a[o], b[o])), return_inverse=True)
+            at = at.astype(np.int32)
+            columns = (self.sig[sets], self.aux[sets], at[: len(o)], at[len(o) :], n[o])
+            yield pa.RecordBatch.from_arrays([pa.array([targets[i]]), *(pa.array([x.tobytes()], pa.binary()) for x in columns)], names=["pid", "sig", "aux", "a", "b", "n"])
 
 
 def _summed(ia: np.ndarray, xa: np.ndarray, ib: np.ndarray, xb: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -417,39 +426,52 @@ def _by_part(batches: Iterator[pa.RecordBatch], kinds: tuple) -> Iterator[tuple]
         yield at[0], *(np.concatenate(x) for x in parts)
 
 
+def _pairs_by_pid(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
+    """(ia, xa, ib, xb, n) of all rows of one pid, for sorted batches of what _Met.take gives."""
+    at, parts = None, []
+    for batch in batches:
+        for r in range(batch.num_rows):
+            pid = batch.column(0)[r].as_py()
+            if at is not None and pid != at:
+                yield tuple(np.concatenate(x) for x in zip(*parts))
+                parts.clear()
+            at = pid
+            sig, aux, a, b, n = (np.frombuffer(batch.column(c)[r].as_py(), dtype=k) for c, k in zip(range(1, 6), (np.int64, np.int64, np.int32, np.int32, np.uint16)))
+            parts.append((sig[a], aux[a], sig[b], aux[b], n))
+    if at is not None:
+        yield tuple(np.concatenate(x) for x in zip(*parts))
+
+
 def candidates(posted: DataFrame, p: JoinParams, heavy_from: int, pids: list[int]) -> DataFrame:
-    """Pairs of sets with enough keys in common: (ia, xa, ib, xb)."""
+    """Sets with those that have enough keys in common with them: (ia, xa, ibs, xbs), each pair at its lesser set."""
     targets = np.array(pids, dtype=np.int64)
-    names = ["ia", "xa", "ib", "xb"]
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, met = None, _Met()
-
-        def emit() -> Iterator[pa.RecordBatch]:
-            pairs = met.take()
-            h = grams.mix(pairs[0].view(np.uint64) + grams.mix(pairs[2].view(np.uint64)))
-            yield from _packed(targets, h % np.uint64(len(targets) * _SUBS), [*names, "n"], pairs, _SUBS)
-
         for pid, key, sig, aux, pos in _by_part(batches, (np.uint64, np.int64, np.int64, np.uint16)):
             if at is not None and pid != at:
-                yield from emit()
+                yield from met.take(targets)
                 met = _Met()
             at = pid
             for pairs in _scan(key, met.numbers(sig, aux), _sizes(aux), pos, p.t, heavy_from):
                 met.add(*pairs)
                 if len(met.code) >= _HELD:
-                    yield from emit()
-        yield from emit()
+                    yield from met.take(targets)
+        yield from met.take(targets)
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, *cols in _by_part(batches, (np.int64, np.int64, np.int64, np.int64, np.int32)):
+        for cols in _pairs_by_pid(batches):
             ia, xa, ib, xb, n = _summed(*cols)
-            ok = n >= np.maximum(1, np.floor(p.lead * np.minimum(_sizes(xa), _sizes(xb))))
-            yield pa.RecordBatch.from_arrays([pa.array(x[ok]) for x in (ia, xa, ib, xb)], names=names)
+            ok = n >= np.clip(np.floor(p.lead * np.minimum(_sizes(xa), _sizes(xb))), 1, _MOST)
+            ia, xa, ib, xb = ia[ok], xa[ok], ib[ok], xb[ok]
+            first = np.flatnonzero(_edges(ia, xa)) if len(ia) else np.zeros(0, np.int64)
+            bounds = pa.array(np.append(first, len(ia)).astype(np.int32))
+            lists = [pa.ListArray.from_arrays(bounds, pa.array(x)) for x in (ib, xb)]
+            yield pa.RecordBatch.from_arrays([pa.array(ia[first]), pa.array(xa[first]), *lists], names=["ia", "xa", "ibs", "xbs"])
 
     n = len(targets)
-    met = posted.repartition(n, "pid").sortWithinPartitions("pid", "sub").mapInArrow(lambda b: grams.rebatched(meet(b), 1 << 20), "pid long, sub int, ia binary, xa binary, ib binary, xb binary, n binary")
-    return met.repartition(n, "pid").sortWithinPartitions("pid", "sub").mapInArrow(add, "ia long, xa long, ib long, xb long")
+    met = posted.repartition(n, "pid").sortWithinPartitions("pid", "sub").mapInArrow(lambda b: grams.rebatched(meet(b), 1 << 20), "pid long, sig binary, aux binary, a binary, b binary, n binary")
+    return met.repartition(n, "pid").sortWithinPartitions("pid").mapInArrow(add, "ia long, xa long, ibs array<long>, xbs array<long>")
 
 
 class _Forest:
@@ -536,8 +558,8 @@ def similar(docs: DataFrame, p: JoinParams = JoinParams(), forest: bool = False)
 
         for batch in batches:
             label, ba, bb, sig, aux, rep, n = (batch.column(c).to_numpy() for c in range(7))
-            bounds = batch.column(7).offsets.to_numpy()
-            ib, xb = (batch.column(7).values.field(c).to_numpy() for c in (0, 1))
+            bounds, other = (batch.column(c).offsets.to_numpy() for c in (7, 8))
+            ib, xb = (batch.column(c).values.to_numpy() for c in (7, 8))
             for r in range(batch.num_rows):
                 key = label[r], ba[r], bb[r]
                 if at is not None and key != at:
@@ -545,11 +567,10 @@ def similar(docs: DataFrame, p: JoinParams = JoinParams(), forest: bool = False)
                 at, me = key, (int(sig[r]), int(aux[r]))
                 if me not in index:
                     index[me] = len(own)
-                    own.append(np.frombuffer(batch.column(8)[r].as_py(), dtype=np.uint64))
+                    own.append(np.frombuffer(batch.column(9)[r].as_py(), dtype=np.uint64))
                     facts.append((rep[r], n[r]))
-                lo, hi = bounds[r], bounds[r + 1]
-                if hi > lo:
-                    partners.append((me, list(zip(ib[lo:hi].tolist(), xb[lo:hi].tolist()))))
+                if bounds[r + 1] > bounds[r]:
+                    partners.append((me, list(zip(ib[bounds[r] : bounds[r + 1]].tolist(), xb[other[r] : other[r + 1]].tolist()))))
         if at is not None:
             yield close()
 
@@ -558,34 +579,40 @@ def similar(docs: DataFrame, p: JoinParams = JoinParams(), forest: bool = False)
 
 
 def _grouped(cand: DataFrame, docs: DataFrame, classes: DataFrame, p: JoinParams) -> DataFrame:
-    """(label, ba, bb, sig, aux, rep, n, partners, grams): the candidates of each block with the sets they need.
+    """(label, ba, bb, sig, aux, rep, n, ibs, xbs, grams): the candidates of each block with the sets they need.
 
-    The label of a set is the least signature among itself and its candidates: copies of one text share it, and are checked together.
+    The label of a set is the least signature among itself and those it is a candidate of: copies of one text share it, and are checked together.
     """
-    a, b = F.struct(F.col("ia").alias("sig"), F.col("xa").alias("aux")), F.struct(F.col("ib").alias("sig"), F.col("xb").alias("aux"))
-    label = cand.select(F.explode(F.array(a, b)).alias("x"), F.least("ia", "ib").alias("l")).groupBy("x.sig", "x.aux").agg(F.min("l").alias("label"))
+    each = F.explode(F.arrays_zip("ibs", "xbs")).alias("o")
+    pointed = cand.select(F.col("ia").alias("l"), each).select("o.ibs", "o.xbs", "l")
+    label = pointed.unionByName(cand.select(F.col("ia").alias("ibs"), F.col("xa").alias("xbs"), F.col("ia").alias("l"))).groupBy(F.col("ibs").alias("sig"), F.col("xbs").alias("aux")).agg(F.min("l").alias("label"))
     label = stored(label, "ngram-labels")
-    keyed = stored(cand.join(label.select(F.col("sig").alias("ia"), F.col("aux").alias("xa"), "label"), ["ia", "xa"]), "ngram-keyed")
-    large = stored(keyed.groupBy("label").agg(F.count("*").alias("pairs")).where(F.col("pairs") > p.group_pairs), "ngram-large")
-    blocks = F.coalesce(F.ceil(F.sqrt(F.col("pairs") / p.group_pairs)), F.lit(1)).cast("long")
-    keyed = keyed.join(large, "label", "left").withColumn("blocks", blocks)
-    block = lambda i, x: F.pmod(F.xxhash64(i, x), F.col("blocks"))
-    keyed = keyed.withColumn("ba", block("ia", "xa")).withColumn("bb", block("ib", "xb"))
+    keyed = stored(cand.withColumnsRenamed({"ia": "sig", "xa": "aux"}).join(label, ["sig", "aux"]), "ngram-keyed")
+    large = stored(keyed.groupBy("label").agg(F.sum(F.size("ibs")).alias("pairs")).where(F.col("pairs") > p.group_pairs), "ngram-large")
     key = ["label", "ba", "bb"]
-    left = keyed.groupBy(*key, F.col("ia").alias("sig"), F.col("xa").alias("aux")).agg(F.collect_list(F.struct("ib", "xb")).alias("partners"))
-    right = keyed.select(*key, F.col("ib").alias("sig"), F.col("xb").alias("aux")).distinct().withColumn("partners", F.array().cast("array<struct<ib:bigint,xb:bigint>>"))
-    reps = classes.join(label.select("sig", "aux"), ["sig", "aux"], "left_semi")
-    some = docs.join(reps.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
-
-    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, texts in _texts(batches):
-            sets = [s for s in grams.gram_sets(texts, p.n) if len(s)]
-            if sets:
-                sig = np.array([signature(s) for s in sets], np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(sig[:, 0].copy()), pa.array(sig[:, 1].copy()), pa.array([s.tobytes() for s in sets], pa.binary())], names=["sig", "aux", "grams"])
-
-    sets = some.mapInArrow(whole, "sig long, aux long, grams binary")
-    return left.unionByName(right).join(reps, ["sig", "aux"]).join(sets, ["sig", "aux"]).select(*key, "sig", "aux", "rep", "n", "partners", "grams")
+    zero = F.lit(0).cast("long")
+    whole = keyed.join(large, "label", "left_anti").select("label", zero.alias("ba"), zero.alias("bb"), "sig", "aux", "ibs", "xbs")
+    cut = keyed.join(large, "label").withColumn("blocks", F.ceil(F.sqrt(F.col("pairs") / p.group_pairs)).cast("long"))
+    block = lambda i, x: F.pmod(F.xxhash64(i, x), F.col("blocks"))
+    cut = cut.select("label", "blocks", "sig", "aux", each).withColumn("ba", block("sig", "aux")).withColumn("bb", block("o.ibs", "o.xbs"))
+    cut = cut.groupBy(*key, "sig", "aux").agg(F.collect_list("o").alias("os")).select(*key, "sig", "aux", F.col("os.ibs").alias("ibs"), F.col("os.xbs").alias("xbs"))
+    left = whole.unionByName(cut)
+    none = F.array().cast("array<bigint>")
+    right = left.select(*key, each).select(*key, F.col("o.ibs").alias("sig"), F.col("o.xbs").alias("aux")).distinct().withColumns({"ibs": none, "xbs": none})
+    need = left.unionByName(right).join(classes, ["sig", "aux"]).select(*key, "sig", "aux", "rep", "n", "ibs", "xbs")
+    texts = need.join(docs, F.col("rep") == F.col("doc_id")).select(*need.columns, "text")
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for lo in range(0, b.num_rows, _SLICE):
+                some = b.slice(lo, _SLICE)
+                sets = list(grams.gram_sets(some.column(9).to_pylist(), p.n))
+                sig = np.array([signature(s) for s in sets], np.int64).reshape(-1, 2)
+                own = (sig[:, 0] == some.column(3).to_numpy()) & (sig[:, 1] == some.column(4).to_numpy())  # a doc_id may have other rows
+                columns = [*some.columns[:9], pa.array([s.tobytes() for s in sets], pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names=[*some.schema.names[:9], "grams"]).filter(pa.array(own))
+
+    return texts.mapInArrow(hashed, "label long, ba long, bb long, sig long, aux long, rep long, n long, ibs array<long>, xbs array<long>, grams binary")
 
 
 def components(edges: DataFrame) -> DataFrame:
