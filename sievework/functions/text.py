@@ -26,6 +26,11 @@ def count(c: Column, pattern: str) -> Column:
     return F.regexp_count(c, F.lit(pattern))
 
 
+def class_count(c: Column, inside: str) -> Column:
+    """Characters of a class (without its brackets), as what is left when runs of others go: far fewer matches than one a character."""
+    return F.length(F.regexp_replace(c, f"[^{inside}]+", ""))
+
+
 def recover_cp1252(c: Column) -> Column:
     """C1 characters to what cp1252 has there; those it lacks are dropped."""
     good = [k for k, v in _RECOVERED.items() if v]
@@ -75,16 +80,16 @@ def clean(c: Column) -> Column:
 
 
 def script_letters(c: Column, p: ScriptProfile = LATIN) -> Column:
-    return count(c, f"[{p.script}]")
+    return class_count(c, p.script)
 
 
 def mark_letters(c: Column, p: ScriptProfile = LATIN) -> Column:
-    return count(c, f"[{p.marks}]")
+    return class_count(c, p.marks)
 
 
 def script_ratio(c: Column, p: ScriptProfile = LATIN) -> Column:
     """Share of the letters that belong to the script, to 3 decimals, half to even; 0 without letters."""
-    alpha = count(c, r"\p{L}")
+    alpha = class_count(c, r"\p{L}")
     return F.when(alpha > 0, F.bround(script_letters(c, p) / alpha, 3)).otherwise(F.when(c.isNotNull(), F.lit(0.0)))
 
 

@@ -33,10 +33,22 @@ def path(url: Column) -> Column:
 
 
 def query(url: Column) -> Column:
-    """Without tracking parameters, in order."""
-    parts = F.split(F.regexp_extract(url, r"\?([^#]*)", 1), "&")
-    kept = F.filter(parts, lambda x: (x != "") & ~F.lower(F.substring_index(x, "=", 1)).isin(*TRACKING))
-    return F.array_join(kept, "&")
+    """Without tracking parameters, in order; names and values are decoded as a form's and encoded again, each with its equals sign."""
+    parts = F.filter(F.split(F.regexp_extract(url, r"\?([^#]*)", 1), "&"), lambda x: x != "")
+    value = lambda x: F.when(F.instr(x, "=") > 0, F.substr(x, F.instr(x, "=") + 1)).otherwise("")
+    pairs = F.transform(parts, lambda x: F.struct(form_decoded(F.substring_index(x, "=", 1)).alias("k"), form_decoded(value(x)).alias("v")))
+    kept = F.filter(pairs, lambda p: ~F.lower(p["k"]).isin(*TRACKING))
+    return F.array_join(F.transform(kept, lambda p: F.concat(form_encoded(p["k"]), F.lit("="), form_encoded(p["v"]))), "&")
+
+
+def form_decoded(c: Column) -> Column:
+    """Plus signs to blanks and escapes to characters; a percent sign that escapes nothing stays."""
+    return F.url_decode(F.regexp_replace(c, "%(?![0-9A-Fa-f]{2})", "%25"))
+
+
+def form_encoded(c: Column) -> Column:
+    """Letters, digits and _ . - ~ as they are, blanks as plus signs, all else escaped."""
+    return F.replace(F.replace(F.url_encode(c), F.lit("*"), F.lit("%2A")), F.lit("%7E"), F.lit("~"))
 
 
 def normalise(url: Column, force_http: bool = False) -> Column:

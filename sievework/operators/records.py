@@ -14,28 +14,56 @@ WITH, WITHOUT = "with_context", "no_context"
 SYSTEM = {WITH: "Answer from the context.", WITHOUT: "Answer from what you know."}
 
 
-def valid_pairs(pairs: Column) -> Column:
-    """Pairs with a question, an answer and a known type (a blank is a question); reasoning is trimmed, or null if empty."""
-    kept = F.filter(pairs, lambda p: p.isNotNull() & (F.coalesce(F.length(p["question"]), F.lit(0)) > 0) & (F.coalesce(F.length(p["answer"]), F.lit(0)) > 0) & F.coalesce(p["question_type"].isin(*QUESTION_TYPES), F.lit(False)))
-    return F.transform(kept, lambda p: F.struct(p["question"].alias("question"), p["answer"].alias("answer"), p["question_type"].alias("question_type"), F.nullif(T.strip(p["reasoning"]), F.lit("")).alias("reasoning")))
+def _text(v: Column, field: str) -> Column:
+    """A field of an object as text, whatever its kind; null where Python's truth is false (missing, null, empty, zero or false)."""
+    x = F.try_variant_get(v, f"$.{field}", "variant")
+    t = F.try_variant_get(v, f"$.{field}", "string")
+    is_text = F.schema_of_variant(x) == "STRING"
+    return F.when((F.length(t) > 0) & (is_text | ~t.isin("0", "0.0", "false", "[]", "{}")), t)
 
 
-def parse_response(text: Column) -> Column:
-    """struct(status, pairs) of a model's answer: empty, parse_error or ok."""
-    body = T.strip_code_fence(text)
-    is_list = F.coalesce(body.startswith("["), F.lit(False)) & F.try_parse_json(body).isNotNull()
-    pairs = F.when(is_list, F.from_json(body, _PAIRS))
-    good = valid_pairs(pairs)
-    status = (
+def valid_pairs(items: Column) -> Column:
+    """Pairs of an array of variants: objects with a question, an answer and a known type (a blank is a question); reasoning is trimmed, or null if empty or no text. Other entries drop out one by one."""
+    objects = F.filter(items, lambda v: F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False)))
+    kind = lambda v: F.try_variant_get(v, "$.question_type", "string")
+    why = lambda v: F.when(F.schema_of_variant(F.try_variant_get(v, "$.reasoning", "variant")) == "STRING", F.nullif(T.strip(F.try_variant_get(v, "$.reasoning", "string")), F.lit("")))
+    pairs = F.transform(objects, lambda v: F.struct(_text(v, "question").alias("question"), _text(v, "answer").alias("answer"), kind(v).alias("question_type"), why(v).alias("reasoning")))
+    return F.filter(pairs, lambda p: p["question"].isNotNull() & p["answer"].isNotNull() & F.coalesce(p["question_type"].isin(*QUESTION_TYPES), F.lit(False)))
+
+
+def _items(body: Column) -> Column:
+    """The entries of a JSON list as variants; null for anything else."""
+    v = F.when(body.startswith("["), F.try_parse_json(body))
+    return F.try_variant_get(v, "$", "array<variant>")
+
+
+def _status(body: Column, items: Column, good: Column) -> Column:
+    return (
         F.when(F.coalesce(F.length(body), F.lit(0)) == 0, "empty")
-        .when(pairs.isNull(), "parse_error")
-        .when(body.rlike(r"^\[\s*\]$"), "empty")
+        .when(items.isNull(), "parse_error")
+        .when(F.size(items) == 0, "empty")
         .when(F.size(good) == 0, "parse_error")
         .otherwise("ok")
     )
+
+
+def parse_response(text: Column) -> Column:
+    """struct(status, pairs) of a model's answer: empty, parse_error or ok."""
+    body = T.strip_code_fence(text)
+    items = _items(body)
+    good = valid_pairs(items)
+    status = _status(body, items, good)
     return F.struct(status.alias("status"), F.when(status == "ok", good).otherwise(F.array().cast(_PAIRS)).alias("pairs"))
 
 
+def parse_responses(df: DataFrame, text: str) -> DataFrame:
+    """``df`` with status and pairs in place of ``text``; each step is a column of its own, so nothing is parsed twice."""
+    keep = [c for c in df.columns if c != text]
+    steps = df.select(*keep, T.strip_code_fence(F.col(text)).alias("_body")).withColumn("_items", _items(F.col("_body"))).withColumn("_good", valid_pairs(F.col("_items")))
+    steps = steps.withColumn("status", _status(F.col("_body"), F.col("_items"), F.col("_good")))
+    return steps.select(*keep, "status", F.when(F.col("status") == "ok", F.col("_good")).otherwise(F.array().cast(_PAIRS)).alias("pairs"))
+
+
 def context_mode(key: Column, share: float = 0.7, salt: str = "mode") -> Column:
     return F.when(T.hash01(key, salt) < F.lit(share), WITH).otherwise(WITHOUT)
 

@@ -28,12 +28,17 @@ def percentiles(df: DataFrame, c: str, by: list[str] | None = None) -> DataFrame
 
 
 def histogram(df: DataFrame, c: str, bins: int = 60) -> DataFrame:
-    """Counts of equal bins on [0, max(p99.5, 1)], the last one closed, and how many values lie beyond."""
-    top = df.agg(F.greatest(F.percentile(c, F.lit(0.995)), F.lit(1.0)).alias("top"), F.count(c).alias("n")).where("n > 0")
-    v = df.where(F.col(c).isNotNull()).select(F.col(c).cast("double").alias("v")).crossJoin(top.select("top"))
-    width = F.col("top") / F.lit(float(bins))
-    b = F.when(F.col("v") > F.col("top"), F.lit(bins)).otherwise(F.least(F.floor(F.col("v") / width), F.lit(bins - 1))).cast("int")
-    return v.groupBy(b.alias("bin"), "top").agg(F.count("*").alias("n")).select("bin", (F.col("bin") == bins).alias("clipped"), F.round(F.col("bin") * F.col("top") / bins, 6).alias("low"), "n")
+    """(bin, clipped, low, n): counts of all equal bins on [0, max(p99.5, 1)], the last one closed, empty ones too, and a last row of how many values are over p99.5; no rows without values."""
+    spark = df.sparkSession
+    high, n = df.agg(F.percentile(c, F.lit(0.995)), F.count(c)).first()
+    if not n:
+        return spark.createDataFrame([], "bin int, clipped boolean, low double, n long")
+    top = max(float(high), 1.0)
+    v = F.col(c).cast("double")
+    b = F.when((v >= 0) & (v <= top), F.least(F.floor(v / F.lit(top / bins)), F.lit(bins - 1)).cast("int"))
+    got = df.where(v.isNotNull()).select(F.explode(F.array_compact(F.array(b, F.when(v > F.lit(float(high)), bins)))).alias("bin")).groupBy("bin").agg(F.count("*").alias("n"))
+    spine = spark.range(bins + 1).select(F.col("id").cast("int").alias("bin"))
+    return spine.join(got, "bin", "left").select("bin", (F.col("bin") == bins).alias("clipped"), F.round(F.col("bin") * F.lit(top) / bins, 6).alias("low"), F.coalesce("n", F.lit(0)).alias("n"))
 
 
 def codepoints(df: DataFrame, c: str, pattern: str, top: int = 20) -> DataFrame:
@@ -63,9 +68,9 @@ def concentration(df: DataFrame, by: str, value: str, top: int) -> DataFrame:
 
 def flag_counts(df: DataFrame, flags: str = "flags") -> DataFrame:
     """(flag, n, share of all rows), most frequent first; a row may have several, joined by semicolons."""
-    total = df.agg(F.count("*").alias("total"))
+    total = df.count()
     each = df.select(F.explode(F.filter(F.split(flags, ";"), lambda f: f != "")).alias("flag")).groupBy("flag").agg(F.count("*").alias("n"))
-    return each.crossJoin(total).select("flag", "n", F.round(F.col("n") / F.col("total"), 6).alias("share"))
+    return each.select("flag", "n", F.round(F.col("n") / F.lit(max(total, 1)), 6).alias("share")).orderBy(F.desc("n"), "flag")
 
 
 def changes(before: DataFrame, after: DataFrame, key: str, column: str) -> DataFrame:

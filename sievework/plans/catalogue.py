@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from sievework.plans import corpus, datasets, web  # noqa: F401  (they register their queries)
+from sievework.plans import corpus, datasets, reports, web  # noqa: F401  (they register their queries)
 from sievework.plans.register import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -25,12 +25,14 @@ _CC = r"[\x00-\x08\x0b-\x1f\x7f-\x{9f}]"
 _PUA = r"[\x{E000}-\x{F8FF}\x{F0000}-\x{FFFFD}\x{100000}-\x{10FFFD}]"
 STATS_SQL = rf"""
 SELECT doc_id, source, lang, length(text)::INTEGER AS chars, {_n("[À-ÿ]")}::INTEGER AS mark_chars, {_n(_CC)}::INTEGER AS stray_controls,
-  CASE WHEN {_n(chr(92) + "p{L}")} > 0 THEN round_even({_n("[A-Za-z]")}::DOUBLE / {_n(chr(92) + "p{L}")}, 3) ELSE 0.0 END AS script_ratio FROM (SELECT * REPLACE (coalesce(text, '') AS text) FROM documents)
+  CASE WHEN {_n(chr(92) + "p{L}")} > 0 THEN round_even({_n("[A-Za-z]")}::DOUBLE / {_n(chr(92) + "p{L}")}, 3) ELSE 0.0 END AS script_ratio{{more}} FROM (SELECT * REPLACE (coalesce(text, '') AS text) FROM documents)
 """
+_CO = r"[\x{E000}-\x{F8FF}\x{F0000}-\x{FFFFD}\x{100000}-\x{10FFFD}]"
+_PRIVATE = rf"regexp_matches(text, '[\x{{0600}}-\x{{06FF}}]{_CO}[\x{{0600}}-\x{{06FF}}]') AS private_in_words"
 CLASS_SQL = f"""
-WITH s AS ({STATS_SQL})
+WITH s AS ({STATS_SQL.replace("{more}", ", " + _PRIVATE)})
 SELECT *, CASE WHEN chars < 200 THEN 'too short' WHEN script_ratio < 0.5 THEN 'other script' WHEN chars >= 1000 AND mark_chars / chars::DOUBLE < 0.001 THEN 'other language'
-  WHEN stray_controls > 0 THEN 'stray controls' ELSE 'clean' END AS reason FROM s
+  WHEN private_in_words THEN 'private use in words' WHEN stray_controls > 0 THEN 'stray controls' ELSE 'clean' END AS reason FROM s
 """
 
 
@@ -43,7 +45,7 @@ def _classified(spark: SparkSession, d: str) -> DataFrame:
     return _stats(spark, d).withColumn("c", c).select("doc_id", "source", "lang", "chars", "script_ratio", "mark_chars", "stray_controls", F.col("c.class").alias("class"), F.col("c.reason").alias("reason"))
 
 
-@query("text_stats", STATS_SQL)
+@query("text_stats", STATS_SQL.replace("{more}", ""))
 def text_stats(spark: SparkSession, d: str) -> DataFrame:
     """Characters, script ratio, marks and stray controls of each document."""
     return _stats(spark, d).select("doc_id", "source", "lang", "chars", "mark_chars", "stray_controls", "script_ratio")
@@ -73,7 +75,9 @@ def reason_counts(spark: SparkSession, d: str) -> DataFrame:
 _AR, _LAT = _n(r"[\x{0600}-\x{06FF}\x{0750}-\x{077F}]"), _n("[A-Za-z]")
 SCRIPT_SQL = rf"CASE WHEN {_AR} + {_LAT} < 200 THEN 'image_only_or_empty' WHEN {_AR} > {_LAT} THEN CASE WHEN {_n(r'[\x{06CE}\x{06C6}\x{06A4}\x{0695}\x{06B5}]')} / greatest({_AR}, 1)::DOUBLE > 0.005 THEN 'kurdish' ELSE 'arabic' END ELSE 'latin' END"
 _A2, _L2 = _n(r"[\x{0600}-\x{06FF}]", "lower(text)"), _n("[a-z]", "lower(text)")
-LANG_SQL = f"CASE WHEN {_A2} > {_L2} AND {_A2} > 20 THEN 'arabic_script' WHEN {_L2} > {_A2} AND {_L2} > 20 THEN CASE WHEN {_n('[êîûçş]', 'lower(text)')} > 3 THEN 'latin_kurdish' ELSE 'other_latin' END ELSE 'unknown' END"
+# DuckDB's word boundary knows ASCII alone: a word begins where no letter, digit, mark or underscore is before it
+_AWORDS = r"len(regexp_extract_all(regexp_replace(' ' || lower(text), '([^\p{L}\p{M}\p{N}_])(الله|الى|على|من|في|ال)', '\1' || chr(1), 'g'), chr(1)))"
+LANG_SQL = f"CASE WHEN {_A2} > {_L2} AND {_A2} > 20 THEN CASE WHEN {_n("[طظضصذثؤإأكية]", "lower(text)")} + 2 * {_AWORDS} > {_n("[کیڵڕەۆێڤگژچپ]", "lower(text)")} THEN 'arabic' ELSE 'kurdish_arabic' END WHEN {_L2} > {_A2} AND {_L2} > 20 THEN CASE WHEN {_n('[êîûçş]', 'lower(text)')} > 3 THEN 'latin_kurdish' ELSE 'other_latin' END ELSE 'unknown' END"
 
 
 @query("script_class", f"SELECT doc_id, {SCRIPT_SQL} AS script_class FROM documents")
@@ -201,9 +205,9 @@ def length_percentiles(spark: SparkSession, d: str) -> DataFrame:
 
 @query(
     "length_histogram",
-    """WITH t AS (SELECT greatest(quantile_cont(n_chars, 0.995), 1.0) AS top FROM documents), b AS (
-  SELECT top, CASE WHEN n_chars > top THEN 60 ELSE least(floor(n_chars / (top / 60.0::DOUBLE)), 59) END::INTEGER AS bin FROM documents, t)
-SELECT bin, bin = 60 AS clipped, round(bin * top / 60, 6) AS low, count(*) AS n FROM b GROUP BY bin, top""",
+    """WITH t AS (SELECT greatest(quantile_cont(n_chars, 0.995), 1.0) AS top, quantile_cont(n_chars, 0.995) AS high FROM documents), b AS (
+  SELECT least(floor(n_chars / (top / 60.0::DOUBLE)), 59)::INTEGER AS bin FROM documents, t WHERE n_chars <= top UNION ALL SELECT 60 FROM documents, t WHERE n_chars > high)
+SELECT s.bin::INTEGER AS bin, s.bin = 60 AS clipped, round(s.bin * t.top / 60, 6) AS low, count(b.bin) AS n FROM range(61) s(bin), t LEFT JOIN b ON b.bin = s.bin GROUP BY s.bin, t.top""",
 )
 def length_histogram(spark: SparkSession, d: str) -> DataFrame:
     return S.histogram(table(spark, d, _DOCS), "n_chars")

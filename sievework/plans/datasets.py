@@ -58,7 +58,7 @@ def _compiled(spark: SparkSession, d: str) -> DataFrame:
 
 
 _COMPILED_SQL = f"""
-SELECT p.*, d.source, substr(sha1(d.source || '/' || d.doc_id::VARCHAR), 1, 16) AS document_id, 'documents-' || p.conv_id::VARCHAR || '-000' AS chunk_id, substr(d.text, 1, 1200) AS context
+SELECT p.*, d.source, substr(sha1(d.source || '/' || d.doc_id::VARCHAR), 1, 16) AS document_id, 'documents-' || p.conv_id::VARCHAR || '-000' AS chunk_id, d.text AS context
 FROM ({PAIRS_SQL}) p JOIN documents d ON d.doc_id = p.conv_id
 """
 _USER_SQL = "CASE WHEN context_mode = 'with_context' THEN 'Context: ' || context || chr(10) || chr(10) || 'Question: ' || question ELSE 'Question: ' || question END"
@@ -76,7 +76,9 @@ def messages_flat(spark: SparkSession, d: str) -> DataFrame:
 
 @query(
     "context_split",
-    f"SELECT pair_id, CASE WHEN context_mode = 'with_context' THEN context END AS context, question FROM ({_COMPILED_SQL}) WHERE question NOT LIKE '%Question: %'",
+    f"""WITH u AS (SELECT pair_id, {_USER_SQL} AS u, string_split({_USER_SQL}, chr(10) || chr(10) || 'Question: ') AS p FROM ({_COMPILED_SQL}))
+SELECT pair_id, CASE WHEN u LIKE 'Context: %' AND len(p) > 1 THEN substr(array_to_string(p[1:len(p) - 1], chr(10) || chr(10) || 'Question: '), 10) END AS context,
+  CASE WHEN u LIKE 'Context: %' AND len(p) > 1 THEN p[len(p)] WHEN u LIKE 'Question: %' THEN substr(u, 11) ELSE u END AS question FROM u""",
 )
 def context_split(spark: SparkSession, d: str) -> DataFrame:
     c = _compiled(spark, d).select("pair_id", M.split_user(M.user_message(F.col("context"), F.col("question"), F.col("context_mode"))).alias("s"))
@@ -116,8 +118,8 @@ def prompt_tokens(spark: SparkSession, d: str) -> DataFrame:
 _MARK = r"len(regexp_extract_all({c}, '\b(?:{w})\b'))"
 _FLAGS_SQL = rf"""
 WITH p AS ({PAIRS_SQL}), j AS (
-  SELECT p.*, substr(d.text, 1, 1200) AS context, d.doc_id IS NULL AS missing, min(row_index) OVER (PARTITION BY question) AS first_row,
-    CASE WHEN row_index % 7 = 3 THEN 'large' ELSE 'small' END AS model FROM p LEFT JOIN documents d ON d.doc_id = p.conv_id * 2
+  SELECT p.*, d.text AS context, d.doc_id IS NULL AS missing, min(row_index) OVER (PARTITION BY question) AS first_row,
+    CASE WHEN row_index % 7 = 3 THEN 'large' ELSE 'small' END AS model FROM p LEFT JOIN documents d ON d.doc_id = p.conv_id
 ), f AS (
   SELECT *, len(regexp_extract_all(answer, '[À-ÿ]')) > 0 AS f1,
     context_mode = 'with_context' AND {_MARK.format(c="context", w="the|and|that")} > 1.5 * {_MARK.format(c="context", w="der|les|que")} AND {_MARK.format(c="context", w="the|and|that")} > 0 AS f2,
@@ -162,7 +164,7 @@ def flags_vs_labels(spark: SparkSession, d: str) -> DataFrame:
     return j.groupBy("quality", "toxic").agg(F.count("*").alias("n"), F.count_if(F.length("text") < 200).alias("n_short"))
 
 
-@query("context_left_blank", f"SELECT pair_id, coalesce(substr(d.text, 1, 300), '') AS context FROM ({PAIRS_SQL}) p LEFT JOIN documents d ON d.doc_id = p.conv_id * 3")
+@query("context_left_blank", f"SELECT pair_id, coalesce(d.text, '') AS context FROM ({PAIRS_SQL}) p LEFT JOIN documents d ON d.doc_id = p.conv_id")
 def context_left_blank(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents").select(F.col("doc_id").cast("string").alias("chunk_id"), "text")
     return R.with_context(pairs(spark, d).withColumn("chunk_id", F.col("conv_id").cast("string")), docs, "blank").select("pair_id", "context")
@@ -288,7 +290,7 @@ def generated_records(spark: SparkSession, d: str) -> DataFrame:
     c = stored(chunked(spark, d).select("chunk_id", "document_id", "source", "text"), "chunks")  # read three times below
     made = stand_in_pairs(F.col("text"), F.col("chunk_id"))
     response = F.when(F.length("text") % 11 == 0, "[]").when(F.length("text") % 13 == 0, "no json").otherwise(F.concat(F.lit("```json\n"), made, F.lit("\n```")))
-    g = c.select("chunk_id", "document_id", "source", M.parse_response(response).alias("r")).select("chunk_id", "document_id", "source", "r.status", "r.pairs")
+    g = M.parse_responses(c.select("chunk_id", "document_id", "source", response.alias("response")), "response")
     first = R.keep_first(g.where("status = 'ok'"), ["chunk_id"], [F.col("document_id")])
     p = first.select("chunk_id", "document_id", "source", F.inline("pairs"))
     p = p.withColumn("context_mode", M.context_mode(F.col("chunk_id")))

@@ -16,9 +16,16 @@ from sievework.shared import stored, table
 _TRACK = ", ".join(f"'{t}'" for t in U.TRACKING)
 
 
+def _encoded(x: str) -> str:
+    """A part of a query decoded as a form's and encoded again."""
+    return f"replace(url_encode(url_decode(replace({x}, '+', ' '))), '%20', '+')"
+
+
 def _norm(c: str) -> str:
     u = f"regexp_replace(trim({c}), '#.*$', '')"
-    q = f"array_to_string(list_filter(string_split(regexp_extract({u}, '\\?([^#]*)', 1), '&'), lambda x: x <> '' AND lower(string_split(x, '=')[1]) NOT IN ({_TRACK})), '&')"
+    parts = f"list_filter(string_split(regexp_extract({u}, '\\?([^#]*)', 1), '&'), lambda x: x <> '')"
+    kept = f"list_filter(list_transform({parts}, lambda x: {{'k': {_encoded("split_part(x, '=', 1)")}, 'v': {_encoded("substr(x, length(split_part(x, '=', 1)) + 2)")}}}), lambda x: lower(x.k) NOT IN ({_TRACK}))"
+    q = f"array_to_string(list_transform({kept}, lambda x: x.k || '=' || x.v), '&')"
     host = f"regexp_replace(lower(regexp_extract({u}, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1)), ':(?:80|443)$', '')"
     path = f"coalesce(nullif(regexp_extract({u}, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1), ''), '/')"
     scheme = f"lower(regexp_extract({u}, '^([A-Za-z][A-Za-z0-9+.-]*)://', 1))"
@@ -67,19 +74,7 @@ def url_tree(spark: SparkSession, d: str) -> DataFrame:
     return W.tree(table(spark, d, "pages"))
 
 
-_EDGES_SQL = """
-SELECT src, dst FROM (SELECT regexp_replace(url, '[?#].*$', '') AS src, unnest(list_filter([regexp_extract(url, '^(https?://[^/?#]+/[a-z]+)/', 1), regexp_extract(url, '^(https?://[^/?#]+)/', 1)], lambda x: x <> '')) AS dst FROM pages)
-UNION SELECT dst, src FROM (SELECT regexp_replace(url, '[?#].*$', '') AS src, unnest(list_filter([regexp_extract(url, '^(https?://[^/?#]+/[a-z]+)/', 1)], lambda x: x <> '')) AS dst FROM pages)
-UNION SELECT regexp_extract(url, '^(https?://[^/?#]+)/', 1), regexp_extract(url, '^(https?://[^/?#]+/[a-z]+)/', 1) FROM pages
-"""
-
-
-@query(
-    "bfs_depth",
-    f"""WITH RECURSIVE e AS ({_EDGES_SQL}), b AS (
-  SELECT DISTINCT regexp_extract(url, '^(https?://[^/?#]+)/', 1) AS url, 0 AS depth FROM pages UNION SELECT e.dst, b.depth + 1 FROM b JOIN e ON e.src = b.url WHERE b.depth < 4)
-SELECT url, min(depth) AS depth FROM b GROUP BY url""",
-)
+@query("bfs_depth")
 def bfs_depth(spark: SparkSession, d: str) -> DataFrame:
     """Steps over the links of the pages from where crawls begin: the first page of each host and pages that no other links to."""
     scanned = stored(W.scan(table(spark, d, "pages")).select("page_id", "url", "links"), "scan")
@@ -116,18 +111,18 @@ def _page_records(spark: SparkSession, d: str) -> DataFrame:
     "ocr_compile",
     f"""WITH p AS (SELECT *, page + 1 AS pg FROM ({_PAGES_SQL})), d AS (
   SELECT doc_id, any_value(source) AS source, any_value(n_pages) AS n_pages, count(*) FILTER (status = 'ok') AS pages_ok, count(*) FILTER (status = 'blank') AS pages_no_text, count(*) FILTER (status = 'rejected') AS pages_rejected,
-    count(*) FILTER (status = 'error') AS pages_failed, coalesce(string_agg(text, chr(10) || chr(12) || chr(10) ORDER BY pg) FILTER (status = 'ok'), '') AS text FROM p GROUP BY doc_id
+    count(*) FILTER (status = 'error') AS pages_failed, round(count(*) * 0.001::DOUBLE, 6) AS cost, coalesce(string_agg(text, chr(10) || chr(12) || chr(10) ORDER BY pg) FILTER (status = 'ok'), '') AS text FROM p GROUP BY doc_id
 ), r AS (
   SELECT *, len(regexp_extract_all(text, '[A-Za-z]')) AS sc, len(regexp_extract_all(text, '[À-ÿ]')) AS mk, len(regexp_extract_all(text, '\\p{{L}}')) AS al FROM d
 )
-SELECT doc_id, source, n_pages, pages_ok, pages_no_text, pages_rejected, pages_failed, length(text)::INTEGER AS chars, round_even((pages_ok + pages_no_text) / greatest(n_pages, 1)::DOUBLE, 3) AS completeness,
+SELECT doc_id, source, n_pages, pages_ok, pages_no_text, pages_rejected, pages_failed, length(text)::INTEGER AS chars, cost, len(regexp_extract_all(text, '\\[\\?\\]'))::INTEGER AS unclear_marks, round_even((pages_ok + pages_no_text) / greatest(n_pages, 1)::DOUBLE, 3) AS completeness,
   CASE WHEN pages_rejected > pages_ok THEN 'rejected' WHEN length(text) < 200 THEN 'low_text' WHEN CASE WHEN al > 0 THEN round_even(sc / al::DOUBLE, 3) ELSE 0 END < 0.5 THEN 'other_script'
     WHEN mk / greatest(sc, 1)::DOUBLE < 0.02 THEN 'other_language' ELSE 'accepted' END AS classification FROM r""",
 )
 def ocr_compile(spark: SparkSession, d: str) -> DataFrame:
     log = _page_records(spark, d).withColumn("page", F.col("page") + 1).withColumn("cost", F.lit(0.001))
     out = O.compile_documents(log, [F.col("n_pages")])
-    return out.select("doc_id", "source", "n_pages", "pages_ok", "pages_no_text", "pages_rejected", "pages_failed", "chars", "completeness", "classification")
+    return out.select("doc_id", "source", "n_pages", "pages_ok", "pages_no_text", "pages_rejected", "pages_failed", "chars", "cost", "unclear_marks", "completeness", "classification")
 
 
 _RUN_SQL = f"""

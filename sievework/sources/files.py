@@ -94,8 +94,16 @@ def move_plan(files: DataFrame, class_col: str, root: str) -> DataFrame:
     return files.select(F.col("path").alias("src"), F.concat(F.lit(root.rstrip("/") + "/"), F.col(class_col), F.lit("/"), F.regexp_extract("path", r"([^/]+)$", 1)).alias("dst"))
 
 
+def read_verdicts(spark: SparkSession, path: str) -> DataFrame:
+    """Files of one JSON array each, with ``origin``: what stands before the first underscore of the file's name."""
+    name = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)$", 1)
+    return spark.read.option("multiLine", "true").json(path).select("*", F.substring_index(name, "_", 1).alias("origin"))
+
+
 def markdown(df: DataFrame, most: int = 1000) -> str:
-    """A small aggregate as a table for a report; made on the driver."""
-    rows = df.limit(most).collect()
+    """A small aggregate as a table for a report; made on the driver. More than ``most`` rows are an error, not cut."""
+    rows = df.limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"a report of more than {most} rows")
     lines = ["| " + " | ".join(df.columns) + " |", "|" + " --- |" * len(df.columns)]
     return "\n".join(lines + ["| " + " | ".join("" if v is None else str(v) for v in r) + " |" for r in rows])
