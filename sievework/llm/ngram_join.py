@@ -26,7 +26,8 @@ blocks likewise. Connected groups are found with aggregates and joins only.
 
 The first pass over the texts gives signatures, counts by size and frequent grams
 (any choice of those is right, as they only set the order; so their number is
-bounded by ``hot_max``). Postings and pairs travel as one binary row for each task and reducer.
+bounded by ``hot_max``). Postings (a table of sets, 40 bits of each key
+and a position) and pairs travel as one binary row for each task and reducer.
 
 Defined results: null and empty texts and texts without words are classes of their own
 without links; rows with a null doc_id take no part; rows that repeat a doc_id are one
@@ -60,6 +61,7 @@ _MOST = 30_000  # keys in common that are enough for sets of any size
 _SIZE_BITS = 28
 _SUBSET, _CROSS, _SIDE, _FAR = 0xFFFF, 0x8000, 0x4000, 0x3FFE  # a position is cut at _FAR, which only weakens its bound
 _DOC, _HOT, _SIZE, _BLOCKS = range(4)
+_POSTED = ("key", "sig", "aux", "runs", "pos")
 
 
 @dataclass(frozen=True)
@@ -218,17 +220,32 @@ def reducers(spark: SparkSession) -> list[int]:
     return sorted(r["id"] for r in rows)
 
 
-def _packed(targets: np.ndarray, part: np.ndarray, names: list[str], columns: tuple[np.ndarray, ...], subs: int = 1) -> Iterator[pa.RecordBatch]:
-    """One row for each target and sub-part that ``part`` (target * subs + sub) has, its columns as binary."""
+def _packed(targets: np.ndarray, part: np.ndarray, key: np.ndarray, who: np.ndarray, pos: np.ndarray, m: np.ndarray, subs: int) -> Iterator[pa.RecordBatch]:
+    """One row for each target and sub-part that ``part`` (target * subs + sub) has: a table of its sets with their numbers of postings, and keys and positions in their order."""
     order = np.argsort(part.astype(np.uint16 if len(targets) * subs < 65536 else np.uint32), kind="stable")
     cuts = np.searchsorted(part[order], np.arange(len(targets) * subs + 1, dtype=part.dtype))
     for i in np.flatnonzero(np.diff(cuts)):
         o = order[cuts[i] : cuts[i + 1]]
-        yield pa.RecordBatch.from_arrays([pa.array([targets[i // subs]]), pa.array([i % subs], pa.int32()), *(pa.array([x[o].tobytes()], pa.binary()) for x in columns)], names=["pid", "sub", *names])
+        first = np.flatnonzero(_edges(who[o]))
+        sets = m[who[o[first]]]
+        runs = np.diff(np.append(first, len(o))).astype(np.uint32)
+        columns = (_narrow(key[o]), sets[:, 0].copy(), sets[:, 1].copy(), runs, pos[o])
+        yield pa.RecordBatch.from_arrays([pa.array([targets[i // subs]]), pa.array([i % subs], pa.int32()), *(pa.array([x.tobytes()], pa.binary()) for x in columns)], names=["pid", "sub", *_POSTED])
+
+
+def _narrow(key: np.ndarray) -> np.ndarray:
+    """The upper five bytes of keys; lists that meet by what is lost only add candidates."""
+    return (key >> np.uint64(24)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]
+
+
+def _widened(key: bytes) -> np.ndarray:
+    out = np.zeros((len(key) // 5, 8), dtype=np.uint8)
+    out[:, :5] = np.frombuffer(key, dtype=np.uint8).reshape(-1, 5)
+    return out.view("<u8")[:, 0].astype(np.uint64)
 
 
 def _split(keys: np.ndarray, meta: tuple[np.ndarray, ...], count: np.ndarray, split: int) -> tuple[np.ndarray, tuple[np.ndarray, ...]]:
-    """Postings of long lists once for each pair of blocks of their list; ``meta``: signature, aux, position, frequent."""
+    """Postings of long lists once for each pair of blocks of their list; ``meta``: signature, set, position, frequent."""
     long = count >= split
     if not long.any():
         return keys, meta
@@ -239,11 +256,11 @@ def _split(keys: np.ndarray, meta: tuple[np.ndarray, ...], count: np.ndarray, sp
     mine = (grams.mix(meta[0][row].view(np.uint64)) % n[row].astype(np.uint64)).astype(np.int64)
     cell = np.minimum(mine, other) * (n[row] + 1) + np.maximum(mine, other) + 1
     k = np.where(n[row] > 1, grams.mix(keys[row] ^ grams.mix(cell.astype(np.uint64))), keys[row])
-    sig, aux, pos, frequent = (x[row] for x in meta)
+    sig, who, pos, frequent = (x[row] for x in meta)
     # a pair of different blocks holds two sides, of which only pairs across count; in (b, b) all do
     pos = np.where(mine != other, pos | np.uint16(_CROSS), pos)
     pos = np.where(mine > other, pos | np.uint16(_SIDE), pos)
-    return k, (sig, aux, pos, frequent)
+    return k, (sig, who, pos, frequent)
 
 
 def postings(docs: DataFrame, p: JoinParams, hot: tuple[np.ndarray, np.ndarray], heavy_from: int, pids: list[int]) -> DataFrame:
@@ -263,16 +280,16 @@ def postings(docs: DataFrame, p: JoinParams, hot: tuple[np.ndarray, np.ndarray],
             key, count = np.concatenate(keys), np.concatenate(counts)
             m = np.array(meta, dtype=np.int64)
             length = m[:, 2]
-            sig, aux = np.repeat(m[:, 0], length), np.repeat(m[:, 1], length)
+            who = np.repeat(np.arange(len(m)), length)
             pos = np.minimum(np.arange(len(key)) - np.repeat(np.cumsum(length) - length, length), _FAR).astype(np.uint16)
             pos[np.repeat(m[:, 3], length) == 1] = _SUBSET
             keys.clear(), meta.clear(), counts.clear()
             held = 0
-            key, (sig, aux, pos, frequent) = _split(key, (sig, aux, pos, count >= _SHARED), count, p.split)
+            key, (_, who, pos, frequent) = _split(key, (m[who, 0], who, pos, count >= _SHARED), count, p.split)
             # copies of one text meet in the lists of many frequent grams: on an eighth of the reducers, more of their pairs are combined before they travel
             part = (key >> np.uint64(17)) % np.where(frequent, np.uint64(max(1, len(targets) // 8)), np.uint64(len(targets)))
             part = part * np.uint64(_SUBS + 1) + np.where(frequent, np.uint64(1) + (key >> np.uint64(7)) % np.uint64(_SUBS), np.uint64(0))
-            yield from _packed(targets, part, ["key", "sig", "aux", "pos"], (key, sig, aux, pos), _SUBS + 1)
+            yield from _packed(targets, part, key, who, pos, m, _SUBS + 1)
 
         for _, texts in _texts(batches):
             for s in grams.gram_sets(texts, p.n):
@@ -303,13 +320,13 @@ def postings(docs: DataFrame, p: JoinParams, hot: tuple[np.ndarray, np.ndarray],
         if held:
             yield from flush()
 
-    return docs.mapInArrow(run, "pid long, sub int, key binary, sig binary, aux binary, pos binary")
+    return docs.mapInArrow(run, "pid long, sub int, key binary, sig binary, aux binary, runs binary, pos binary")
 
 
 def _scan(key: np.ndarray, own: np.ndarray, size: np.ndarray, pos: np.ndarray, t: float, heavy_from: int) -> Iterator[tuple[np.ndarray, ...]]:
     """Pairs in the postings of whole lists: (number of either set, what it counts)."""
     subset = pos == _SUBSET
-    key = (key << np.uint64(1)) | subset  # lists that meet by the lost bit only add candidates
+    key = (key << np.uint64(1)) | subset
     order = np.argsort(key)
     first = np.flatnonzero(_edges(key[order]))
     alone = np.diff(np.append(first, len(key))) == 1
@@ -409,21 +426,20 @@ def _summed(ia: np.ndarray, xa: np.ndarray, ib: np.ndarray, xb: np.ndarray, n: n
     return ia[one], xa[one], ib[one], xb[one], np.add.reduceat(n.astype(np.int64), one)
 
 
-def _by_part(batches: Iterator[pa.RecordBatch], kinds: tuple) -> Iterator[tuple]:
-    """(pid, unpacked columns) of all rows of one (pid, sub), for sorted batches."""
-    at, parts = None, tuple([] for _ in kinds)
+def _by_part(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """(pid, keys, signature, aux and number of postings of each set, positions) of all rows of one (pid, sub), for sorted batches."""
+    at, parts = None, []
     for b in batches:
         for r in range(b.num_rows):
-            key = b.column(0)[r].as_py(), b.column(1)[r].as_py()
-            if at is not None and key != at:
-                yield at[0], *(np.concatenate(x) for x in parts)
-                for x in parts:
-                    x.clear()
-            at = key
-            for x, c, kind in zip(parts, range(2, 2 + len(kinds)), kinds):
-                x.append(np.frombuffer(b.column(c)[r].as_py(), dtype=kind))
+            part = b.column(0)[r].as_py(), b.column(1)[r].as_py()
+            if at is not None and part != at:
+                yield at[0], *(np.concatenate(x) for x in zip(*parts))
+                parts.clear()
+            at = part
+            key, *others = (b.column(c)[r].as_py() for c in range(2, 2 + len(_POSTED)))
+            parts.append((_widened(key), *(np.frombuffer(x, dtype=k) for x, k in zip(others, (np.int64, np.int64, np.uint32, np.uint16)))))
     if at is not None:
-        yield at[0], *(np.concatenate(x) for x in parts)
+        yield at[0], *(np.concatenate(x) for x in zip(*parts))
 
 
 def _pairs_by_pid(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
@@ -448,12 +464,13 @@ def candidates(posted: DataFrame, p: JoinParams, heavy_from: int, pids: list[int
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, met = None, _Met()
-        for pid, key, sig, aux, pos in _by_part(batches, (np.uint64, np.int64, np.int64, np.uint16)):
+        for pid, key, sig, aux, runs, pos in _by_part(batches):
             if at is not None and pid != at:
                 yield from met.take(targets)
                 met = _Met()
             at = pid
-            for pairs in _scan(key, met.numbers(sig, aux), _sizes(aux), pos, p.t, heavy_from):
+            own, size = np.repeat(met.numbers(sig, aux), runs), np.repeat(_sizes(aux), runs)
+            for pairs in _scan(key, own, size, pos, p.t, heavy_from):
                 met.add(*pairs)
                 if len(met.code) >= _HELD:
                     yield from met.take(targets)
