@@ -19,6 +19,12 @@ similarity of at least ``t`` are found:
 * Candidates are verified on the whole sets, which are sent once to each block of
   candidates and not once for each pair.
 
+Crowds: many near copies of one text have quadratically many pairs, which would meet in
+hundreds of lists each. Sets that share a band of four least grams with ``crowd_min`` others or
+more are joined to crowds; two sets of one crowd are no candidates, and all pairs of
+a crowd are verified by products of incidence matrices instead. Which sets form a crowd
+(at most ``crowd_max`` ends, the largest bands first) decides only which way a pair is verified.
+
 Skew: the list of a gram that ``split`` sets or more have is cut into blocks, and each
 pair of blocks is a list of its own, on any reducer. Candidates are grouped by the least
 signature near them, and a group of more than ``group_pairs`` is cut into pairs of
@@ -27,7 +33,9 @@ blocks likewise. Connected groups are found with aggregates and joins only.
 The first pass over the texts gives signatures, counts by size and frequent grams
 (any choice of those is right, as they only set the order; so their number is
 bounded by ``hot_max``). Postings (a table of sets, 40 bits of each key
-and a position) and pairs travel as one binary row for each task and reducer.
+and a position) and pairs travel as one binary row for each task and reducer. There a set
+is its code, 48 bits of the signature and the size rounded up to 12 binary digits; all
+classes of one code are verified.
 
 Defined results: null and empty texts and texts without words are classes of their own
 without links; rows with a null doc_id take no part; rows that repeat a doc_id are one
@@ -61,7 +69,12 @@ _MOST = 30_000  # keys in common that are enough for sets of any size
 _SIZE_BITS = 28
 _SUBSET, _CROSS, _SIDE, _FAR = 0xFFFF, 0x8000, 0x4000, 0x3FFE  # a position is cut at _FAR, which only weakens its bound
 _DOC, _HOT, _SIZE, _BLOCKS = range(4)
-_POSTED = ("key", "sig", "aux", "runs", "pos")
+_POSTED = ("key", "code", "runs", "pos")
+_CLOSE = 0.999  # bounds are weakened by more than the rounding of a code's size
+_BANDS, _BAND = 12, 4
+_EDGES = (np.arange(_BANDS * _BAND, dtype=np.uint64) * np.uint64((1 << 64) // (_BANDS * _BAND))).astype(np.uint64)
+_CROWDED = 8  # grams from which a set can be in a crowd
+_COLUMNS = 2048  # grams of an incidence matrix at a time
 
 
 @dataclass(frozen=True)
@@ -76,6 +89,10 @@ class JoinParams:
     lead: float = 0.04
     split: int = 1 << 15
     group_pairs: int = 1 << 18
+    crowd_min: int = 16
+    crowd_max: int = 1 << 21
+    crowd_block: int = 1 << 10
+    crowd_grams: int = 1 << 20
 
     def __post_init__(self) -> None:
         if not 0.5 < self.t <= 1:
@@ -102,8 +119,25 @@ def signature(s: np.ndarray) -> tuple[int, int]:
     return int(h[:1].view(np.int64)[0]), (int(h[1]) >> 29) << _SIZE_BITS | len(s)
 
 
-def _sizes(aux: np.ndarray) -> np.ndarray:
-    return aux & ((1 << _SIZE_BITS) - 1)
+def code(sig: int, size: int) -> int:
+    """48 bits of a signature, then four of an exponent and twelve of the size, rounded up."""
+    e = max(0, size.bit_length() - 12)
+    if -(-size >> e) > 0xFFF:
+        e += 1
+    return sig >> 16 << 16 | e << 12 | -(-size >> e)
+
+
+def _sizes(codes: np.ndarray) -> np.ndarray:
+    return (codes & 0xFFF) << (codes >> 12 & 0xF)
+
+
+def bands(s: np.ndarray) -> list[int]:
+    """Keys that near copies of a set mostly have some of in common: each is made of the least grams in four ranges (of an empty one, that of the next)."""
+    least = s[np.searchsorted(s, _EDGES) % len(s)].reshape(_BAND, _BANDS)
+    h = np.arange(_BANDS, dtype=np.uint64)
+    for row in least:
+        h = grams.mix(h * np.uint64(0x9FB21C651E98DF25) + row)
+    return h.view(np.int64).tolist()
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list]]:
@@ -112,10 +146,6 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list]]:
             yield b.column(0).slice(lo, _SLICE).to_pylist(), b.column(1).slice(lo, _SLICE).to_pylist()
 
 
-def _rows(**columns: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns.values()], names=list(columns))
-
-
 def _edges(*columns: np.ndarray) -> np.ndarray:
     """True where a row differs from the one before."""
     new = np.ones(len(columns[0]), dtype=bool)
@@ -149,7 +179,12 @@ def _met(held: list[np.ndarray], p: JoinParams) -> tuple[np.ndarray, np.ndarray,
 
 
 def survey(docs: DataFrame, p: JoinParams) -> DataFrame:
-    """First pass over (doc_id, text): signatures, frequent grams, counts by size, as rows (kind, a, b, c)."""
+    """First pass over (doc_id, text): signatures, frequent grams, counts by size, as rows (kind, a, b, c, code, bands); the last two are those of a text."""
+
+    def rows(code: np.ndarray | None = None, keys: list | None = None, **columns: np.ndarray) -> pa.RecordBatch:
+        n = len(columns["a"])
+        more = (pa.nulls(n, pa.int64()) if code is None else pa.array(code), pa.array(keys or [None] * n, pa.list_(pa.int64())))
+        return pa.RecordBatch.from_arrays([*(pa.array(c) for c in columns.values()), *more], names=[*columns, "code", "bands"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sizes: dict[int, np.ndarray] = {}
@@ -166,12 +201,13 @@ def survey(docs: DataFrame, p: JoinParams) -> DataFrame:
             held.clear()
             n_held, n_blocks = 0, n_blocks + 1
             if hot.any():
-                yield _rows(kind=np.full(hot.sum(), _HOT, np.int32), a=g[hot].view(np.int64), b=n[hot].astype(np.int64), c=np.zeros(hot.sum(), np.int64))
+                yield rows(kind=np.full(hot.sum(), _HOT, np.int32), a=g[hot].view(np.int64), b=n[hot].astype(np.int64), c=np.zeros(hot.sum(), np.int64))
 
         for ids, texts in _texts(batches):
-            sigs = []
+            sigs, keys = [], []
             for s in grams.gram_sets(texts, p.n):
                 sigs.append(signature(s))
+                keys.append(bands(s) if len(s) >= _CROWDED else None)
                 if len(s):
                     held.append(s)
                     n_held += len(s)
@@ -179,15 +215,15 @@ def survey(docs: DataFrame, p: JoinParams) -> DataFrame:
                         yield from close()
             if ids:
                 sig = np.array(sigs, np.int64)
-                yield _rows(kind=np.full(len(ids), _DOC, np.int32), a=np.array(ids, np.int64), b=sig[:, 0].copy(), c=sig[:, 1].copy())
+                yield rows(np.array([code(x, y & ((1 << _SIZE_BITS) - 1)) for x, y in sigs], np.int64), keys, kind=np.full(len(ids), _DOC, np.int32), a=np.array(ids, np.int64), b=sig[:, 0].copy(), c=sig[:, 1].copy())
         if held:
             yield from close()
         if sizes:
             s = sorted(sizes)
-            yield _rows(kind=np.full(len(s), _SIZE, np.int32), a=np.array(s, np.int64), b=np.array([sizes[x][0] for x in s]).astype(np.int64), c=np.array([sizes[x][1] for x in s]).astype(np.int64))
-        yield _rows(kind=np.array([_BLOCKS], np.int32), a=np.array([n_blocks], np.int64), b=np.zeros(1, np.int64), c=np.zeros(1, np.int64))
+            yield rows(kind=np.full(len(s), _SIZE, np.int32), a=np.array(s, np.int64), b=np.array([sizes[x][0] for x in s]).astype(np.int64), c=np.array([sizes[x][1] for x in s]).astype(np.int64))
+        yield rows(kind=np.array([_BLOCKS], np.int32), a=np.array([n_blocks], np.int64), b=np.zeros(1, np.int64), c=np.zeros(1, np.int64))
 
-    return docs.mapInArrow(run, "kind int, a long, b long, c long")
+    return docs.mapInArrow(run, "kind int, a long, b long, c long, code long, bands array<long>")
 
 
 def boundary(p: JoinParams, sizes: dict[int, tuple[int, int]], blocks: int) -> int:
@@ -226,10 +262,12 @@ def _packed(targets: np.ndarray, part: np.ndarray, key: np.ndarray, who: np.ndar
     cuts = np.searchsorted(part[order], np.arange(len(targets) * subs + 1, dtype=part.dtype))
     for i in np.flatnonzero(np.diff(cuts)):
         o = order[cuts[i] : cuts[i + 1]]
-        first = np.flatnonzero(_edges(who[o]))
-        sets = m[who[o[first]]]
-        runs = np.diff(np.append(first, len(o))).astype(np.uint32)
-        columns = (_narrow(key[o]), sets[:, 0].copy(), sets[:, 1].copy(), runs, pos[o])
+        new = _edges(who[o])
+        at = np.flatnonzero(new)
+        new |= (np.arange(len(o)) - np.repeat(at, np.diff(np.append(at, len(o))))) % 255 == 0
+        first = np.flatnonzero(new)
+        runs = np.diff(np.append(first, len(o))).astype(np.uint8)
+        columns = (_narrow(key[o]), m[who[o[first]], 0], runs, pos[o])
         yield pa.RecordBatch.from_arrays([pa.array([targets[i // subs]]), pa.array([i % subs], pa.int32()), *(pa.array([x.tobytes()], pa.binary()) for x in columns)], names=["pid", "sub", *_POSTED])
 
 
@@ -245,7 +283,7 @@ def _widened(key: bytes) -> np.ndarray:
 
 
 def _split(keys: np.ndarray, meta: tuple[np.ndarray, ...], count: np.ndarray, split: int) -> tuple[np.ndarray, tuple[np.ndarray, ...]]:
-    """Postings of long lists once for each pair of blocks of their list; ``meta``: signature, set, position, frequent."""
+    """Postings of long lists once for each pair of blocks of their list; ``meta``: code, set, position, frequent."""
     long = count >= split
     if not long.any():
         return keys, meta
@@ -264,14 +302,14 @@ def _split(keys: np.ndarray, meta: tuple[np.ndarray, ...], count: np.ndarray, sp
 
 
 def postings(docs: DataFrame, p: JoinParams, hot: tuple[np.ndarray, np.ndarray], heavy_from: int, pids: list[int]) -> DataFrame:
-    """Second pass: for each reducer, packed postings (key, signature, aux, position or what marks a 2-subset)."""
+    """Second pass: for each reducer, packed postings (key, code, position or what marks a 2-subset)."""
     targets = np.array(pids, dtype=np.int64)
     border = p.least(heavy_from)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys: list[np.ndarray] = []
         counts: list[np.ndarray] = []
-        meta: list[tuple[int, int, int, int]] = []
+        meta: list[tuple[int, int, int]] = []
         held = 0
         seen: set = set()
 
@@ -279,10 +317,10 @@ def postings(docs: DataFrame, p: JoinParams, hot: tuple[np.ndarray, np.ndarray],
             nonlocal held
             key, count = np.concatenate(keys), np.concatenate(counts)
             m = np.array(meta, dtype=np.int64)
-            length = m[:, 2]
+            length = m[:, 1]
             who = np.repeat(np.arange(len(m)), length)
             pos = np.minimum(np.arange(len(key)) - np.repeat(np.cumsum(length) - length, length), _FAR).astype(np.uint16)
-            pos[np.repeat(m[:, 3], length) == 1] = _SUBSET
+            pos[np.repeat(m[:, 2], length) == 1] = _SUBSET
             keys.clear(), meta.clear(), counts.clear()
             held = 0
             key, (_, who, pos, frequent) = _split(key, (m[who, 0], who, pos, count >= _SHARED), count, p.split)
@@ -302,29 +340,30 @@ def postings(docs: DataFrame, p: JoinParams, hot: tuple[np.ndarray, np.ndarray],
                 if len(seen) > 100_000:
                     seen.clear()
                 seen.add(own)
+                mine = code(own[0], n)
                 o, rank = ordered(s, *hot)
                 if n < heavy_from:
                     e = o[: min(n, n - p.least(n) + 2)]
                     i, j = np.triu_indices(len(e), 1)
                     keys.append(grams.mix(np.minimum(e[i], e[j]) * np.uint64(0x9FB21C651E98DF25) + np.maximum(e[i], e[j])))
                     counts.append(np.zeros(len(i), dtype=np.int32))
-                    meta.append((*own, len(i), 1))
+                    meta.append((mine, len(i), 1))
                     held += len(i)
                 if n >= border:
                     keys.append(o[: p.prefix(n)])
                     counts.append(rank[: p.prefix(n)])
-                    meta.append((*own, len(keys[-1]), 0))
+                    meta.append((mine, len(keys[-1]), 0))
                     held += len(keys[-1])
                 if held >= _FLUSH:
                     yield from flush()
         if held:
             yield from flush()
 
-    return docs.mapInArrow(run, "pid long, sub int, key binary, sig binary, aux binary, runs binary, pos binary")
+    return docs.mapInArrow(run, "pid long, sub int, key binary, code binary, runs binary, pos binary")
 
 
-def _scan(key: np.ndarray, own: np.ndarray, size: np.ndarray, pos: np.ndarray, t: float, heavy_from: int) -> Iterator[tuple[np.ndarray, ...]]:
-    """Pairs in the postings of whole lists: (number of either set, what it counts)."""
+def _scan(key: np.ndarray, own: np.ndarray, size: np.ndarray, pos: np.ndarray, crowd: np.ndarray, t: float, heavy_from: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """Pairs in the postings of whole lists that aren't of one crowd: (number of either set, what it counts); crowd: -1 for none."""
     subset = pos == _SUBSET
     key = (key << np.uint64(1)) | subset
     order = np.argsort(key)
@@ -335,55 +374,81 @@ def _scan(key: np.ndarray, own: np.ndarray, size: np.ndarray, pos: np.ndarray, t
     order = order[keep]
     if not len(order):
         return
-    key, who, pos = key[order], (size[order].astype(np.uint64) << np.uint64(32)) | own[order].astype(np.uint64), pos[order]
+    key, who, pos, crowd = key[order], (size[order].astype(np.uint64) << np.uint64(32)) | own[order].astype(np.uint64), pos[order], crowd[order]
     order = np.lexsort((who, key))
-    key, who, pos = key[order], who[order], pos[order]
-    once = _edges(key, who)
-    key, who, pos = key[once], who[once], pos[once]
+    order = order[_edges(key[order], who[order])]
+    key, who, pos, crowd = key[order], who[order], pos[order], crowd[order]
     size, own = (who >> np.uint64(32)).astype(np.int64), (who & np.uint64(0xFFFFFFFF)).astype(np.int64)
     subset = pos == _SUBSET
     cross, side = pos & _CROSS != 0, pos & _SIDE
     pos = (pos & 0x3FFF).astype(np.int64)
     begins = np.flatnonzero(_edges(key))
-    end = np.repeat(np.append(begins[1:], len(key)), np.diff(np.append(begins, len(key))))
-    i, d = np.arange(len(key)), 0
+    lengths = np.diff(np.append(begins, len(key)))
+    end = np.repeat(begins + lengths, lengths)
+
+    def similar(i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, ...]:
+        need = np.ceil(_CLOSE * t / (1 + t) * (size[i] + size[j]) - 1e-9)
+        most = np.minimum(pos[i], pos[j]) + np.minimum(size[i] - pos[i], size[j] - pos[j])
+        ok = subset[i] | ((np.maximum(size[i], size[j]) >= heavy_from) & (most >= need) & (~cross[i] | (side[i] != side[j])))
+        a, b = i[ok], j[ok]
+        return own[a], own[b], np.where(subset[a], _LIGHT, 1)
+
+    crowded = np.repeat(np.logical_or.reduceat(crowd >= 0, begins), lengths)
+    i, d = np.flatnonzero(~crowded), 0
     while len(i):
         d += 1
         i = i[i + d < end[i]]
         j = i + d
-        near = size[i] >= t * size[j] - 1e-9  # sizes ascend within a list
+        near = size[i] >= _CLOSE * t * size[j]  # sizes ascend within a list
         i, j = i[near], j[near]
-        need = np.ceil(t / (1 + t) * (size[i] + size[j]) - 1e-9)
-        most = np.minimum(pos[i], pos[j]) + np.minimum(size[i] - pos[i], size[j] - pos[j])
-        ok = subset[i] | ((size[j] >= heavy_from) & (most >= need) & (~cross[i] | (side[i] != side[j])))
-        a, b = i[ok], j[ok]
-        if len(a):
-            yield own[a], own[b], np.where(subset[a], _LIGHT, 1)
+        if len(i):
+            yield similar(i, j)
+
+    # a list with crowds: each set with those behind its own crowd, the largest crowd first
+    at = np.flatnonzero(crowded)
+    if not len(at):
+        return
+    kind = np.where(crowd[at] >= 0, crowd[at], -1 - own[at])
+    at = at[np.lexsort((kind, key[at]))]
+    kind = np.where(crowd[at] >= 0, crowd[at], -1 - own[at])
+    first = np.flatnonzero(_edges(key[at], kind))
+    n = np.diff(np.append(first, len(at)))
+    n = np.repeat(n, n)
+    order = np.lexsort((kind, -n, key[at]))
+    at, n, kind = at[order], n[order], kind[order]
+    first = np.flatnonzero(_edges(key[at], kind))
+    behind = np.repeat(np.append(first[1:], len(at)), n[first])
+    lists = np.flatnonzero(_edges(key[at]))
+    last = np.repeat(np.append(lists[1:], len(at)), np.diff(np.append(lists, len(at))))
+    i, d = np.arange(len(at)), 0
+    while len(i):
+        i = i[behind[i] + d < last[i]]
+        x, y = at[i], at[behind[i] + d]
+        near = np.minimum(size[x], size[y]) >= _CLOSE * t * np.maximum(size[x], size[y])
+        if near.any():
+            yield similar(x[near], y[near])
+        d += 1
 
 
 class _Met:
     """Counts of pairs of sets; sets are numbered as they come, pairs are summed in sorted runs."""
 
     def __init__(self) -> None:
-        self.sig, self.aux = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.sets = np.zeros(0, np.int64)
         self.code, self.n = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         self.raw: list[tuple[np.ndarray, np.ndarray]] = []
         self.n_raw = 0
 
-    def numbers(self, sig: np.ndarray, aux: np.ndarray) -> np.ndarray:
+    def numbers(self, sets: np.ndarray) -> np.ndarray:
         """The number of each set."""
-        known = len(self.sig)
-        s, x = np.concatenate((self.sig, sig)), np.concatenate((self.aux, aux))
-        order = np.lexsort((np.arange(len(s)), x, s))
-        new = _edges(s[order], x[order])
-        first = order[new]  # the place where each set is first
-        number = np.where(first < known, first, 0)
-        number[first >= known] = known + np.arange(int((first >= known).sum()))
-        out = np.empty(len(s), dtype=np.int64)
-        out[order] = number[np.cumsum(new) - 1]
-        added = first[first >= known]
-        self.sig, self.aux = np.concatenate((self.sig, s[added])), np.concatenate((self.aux, x[added]))
-        return out[known:]
+        known = len(self.sets)
+        every = np.concatenate((self.sets, sets))
+        _, first, back = np.unique(every, return_index=True, return_inverse=True)  # the place where each set is first
+        new = first >= known
+        number = first.copy()
+        number[new] = known + np.arange(int(new.sum()))
+        self.sets = np.concatenate((self.sets, every[first[new]]))
+        return number[back[known:]]
 
     def add(self, a: np.ndarray, b: np.ndarray, n: np.ndarray) -> None:
         self.raw.append(((np.minimum(a, b).astype(np.uint64) << np.uint64(32)) | np.maximum(a, b).astype(np.uint64), n))
@@ -405,29 +470,29 @@ class _Met:
         a, b = (self.code >> np.uint64(32)).astype(np.int64), (self.code & np.uint64(0xFFFFFFFF)).astype(np.int64)
         n = np.minimum(self.n, 0xFFFF).astype(np.uint16)
         self.code, self.n = self.code[:0], self.n[:0]
-        swap = (self.sig[b] < self.sig[a]) | ((self.sig[b] == self.sig[a]) & (self.aux[b] < self.aux[a]))
+        swap = self.sets[b] < self.sets[a]
         a, b = np.where(swap, b, a), np.where(swap, a, b)
-        part = (grams.mix(self.sig[a].view(np.uint64)) % np.uint64(len(targets))).astype(np.int64)
+        part = (grams.mix(self.sets[a].view(np.uint64)) % np.uint64(len(targets))).astype(np.int64)
         order = np.lexsort((b, a, part))
         cuts = np.searchsorted(part[order], np.arange(len(targets) + 1))
         for i in np.flatnonzero(np.diff(cuts)):
             o = order[cuts[i] : cuts[i + 1]]
             sets, at = np.unique(np.concatenate((a[o], b[o])), return_inverse=True)
             at = at.astype(np.int32)
-            columns = (self.sig[sets], self.aux[sets], at[: len(o)], at[len(o) :], n[o])
-            yield pa.RecordBatch.from_arrays([pa.array([targets[i]]), *(pa.array([x.tobytes()], pa.binary()) for x in columns)], names=["pid", "sig", "aux", "a", "b", "n"])
+            columns = (self.sets[sets], at[: len(o)], at[len(o) :], n[o])
+            yield pa.RecordBatch.from_arrays([pa.array([targets[i]]), *(pa.array([x.tobytes()], pa.binary()) for x in columns)], names=["pid", "code", "a", "b", "n"])
 
 
-def _summed(ia: np.ndarray, xa: np.ndarray, ib: np.ndarray, xb: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, ...]:
+def _summed(ia: np.ndarray, ib: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, ...]:
     """Each pair once, with the sum of its counts."""
-    o = np.lexsort((xb, ib, xa, ia))
-    ia, xa, ib, xb, n = ia[o], xa[o], ib[o], xb[o], n[o]
-    one = np.flatnonzero(_edges(ia, ib, xa, xb))
-    return ia[one], xa[one], ib[one], xb[one], np.add.reduceat(n.astype(np.int64), one)
+    o = np.lexsort((ib, ia))
+    ia, ib, n = ia[o], ib[o], n[o]
+    one = np.flatnonzero(_edges(ia, ib))
+    return ia[one], ib[one], np.add.reduceat(n.astype(np.int64), one)
 
 
 def _by_part(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-    """(pid, keys, signature, aux and number of postings of each set, positions) of all rows of one (pid, sub), for sorted batches."""
+    """(pid, keys, code and number of postings of each set, positions) of all rows of one (pid, sub), for sorted batches."""
     at, parts = None, []
     for b in batches:
         for r in range(b.num_rows):
@@ -437,13 +502,13 @@ def _by_part(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
                 parts.clear()
             at = part
             key, *others = (b.column(c)[r].as_py() for c in range(2, 2 + len(_POSTED)))
-            parts.append((_widened(key), *(np.frombuffer(x, dtype=k) for x, k in zip(others, (np.int64, np.int64, np.uint32, np.uint16)))))
+            parts.append((_widened(key), *(np.frombuffer(x, dtype=k) for x, k in zip(others, (np.int64, np.uint8, np.uint16)))))
     if at is not None:
         yield at[0], *(np.concatenate(x) for x in zip(*parts))
 
 
 def _pairs_by_pid(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
-    """(ia, xa, ib, xb, n) of all rows of one pid, for sorted batches of what _Met.take gives."""
+    """(ia, ib, n) of all rows of one pid, for sorted batches of what _Met.take gives."""
     at, parts = None, []
     for batch in batches:
         for r in range(batch.num_rows):
@@ -452,25 +517,31 @@ def _pairs_by_pid(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarra
                 yield tuple(np.concatenate(x) for x in zip(*parts))
                 parts.clear()
             at = pid
-            sig, aux, a, b, n = (np.frombuffer(batch.column(c)[r].as_py(), dtype=k) for c, k in zip(range(1, 6), (np.int64, np.int64, np.int32, np.int32, np.uint16)))
-            parts.append((sig[a], aux[a], sig[b], aux[b], n))
+            sets, a, b, n = (np.frombuffer(batch.column(c)[r].as_py(), dtype=k) for c, k in zip(range(1, 5), (np.int64, np.int32, np.int32, np.uint16)))
+            parts.append((sets[a], sets[b], n))
     if at is not None:
         yield tuple(np.concatenate(x) for x in zip(*parts))
 
 
-def candidates(posted: DataFrame, p: JoinParams, heavy_from: int, pids: list[int]) -> DataFrame:
-    """Sets with those that have enough keys in common with them: (ia, xa, ibs, xbs), each pair at its lesser set."""
+def candidates(posted: DataFrame, p: JoinParams, heavy_from: int, pids: list[int], crowds: tuple[np.ndarray, np.ndarray]) -> DataFrame:
+    """Sets with those not of their crowd that have enough keys in common with them: (ia, ibs), each pair at its lesser set."""
     targets = np.array(pids, dtype=np.int64)
+    members, crowd = crowds
+
+    def crowd_of(sets: np.ndarray) -> np.ndarray:
+        if not len(members):
+            return np.full(len(sets), -1)
+        at = np.minimum(np.searchsorted(members, sets), len(members) - 1)
+        return np.where(members[at] == sets, crowd[at], -1)
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, met = None, _Met()
-        for pid, key, sig, aux, runs, pos in _by_part(batches):
+        for pid, key, sets, runs, pos in _by_part(batches):
             if at is not None and pid != at:
                 yield from met.take(targets)
                 met = _Met()
             at = pid
-            own, size = np.repeat(met.numbers(sig, aux), runs), np.repeat(_sizes(aux), runs)
-            for pairs in _scan(key, own, size, pos, p.t, heavy_from):
+            for pairs in _scan(key, *(np.repeat(x, runs) for x in (met.numbers(sets), _sizes(sets))), pos, np.repeat(crowd_of(sets), runs), p.t, heavy_from):
                 met.add(*pairs)
                 if len(met.code) >= _HELD:
                     yield from met.take(targets)
@@ -478,17 +549,51 @@ def candidates(posted: DataFrame, p: JoinParams, heavy_from: int, pids: list[int
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for cols in _pairs_by_pid(batches):
-            ia, xa, ib, xb, n = _summed(*cols)
-            ok = n >= np.clip(np.floor(p.lead * np.minimum(_sizes(xa), _sizes(xb))), 1, _MOST)
-            ia, xa, ib, xb = ia[ok], xa[ok], ib[ok], xb[ok]
-            first = np.flatnonzero(_edges(ia, xa)) if len(ia) else np.zeros(0, np.int64)
+            ia, ib, n = _summed(*cols)
+            ok = n >= np.clip(np.floor(_CLOSE * p.lead * np.minimum(_sizes(ia), _sizes(ib))), 1, _MOST)
+            ia, ib = ia[ok], ib[ok]
+            first = np.flatnonzero(_edges(ia)) if len(ia) else np.zeros(0, np.int64)
             bounds = pa.array(np.append(first, len(ia)).astype(np.int32))
-            lists = [pa.ListArray.from_arrays(bounds, pa.array(x)) for x in (ib, xb)]
-            yield pa.RecordBatch.from_arrays([pa.array(ia[first]), pa.array(xa[first]), *lists], names=["ia", "xa", "ibs", "xbs"])
+            yield pa.RecordBatch.from_arrays([pa.array(ia[first]), pa.ListArray.from_arrays(bounds, pa.array(ib))], names=["ia", "ibs"])
 
     n = len(targets)
-    met = posted.repartition(n, "pid").sortWithinPartitions("pid", "sub").mapInArrow(lambda b: grams.rebatched(meet(b), 1 << 20), "pid long, sig binary, aux binary, a binary, b binary, n binary")
-    return met.repartition(n, "pid").sortWithinPartitions("pid").mapInArrow(add, "ia long, xa long, ibs array<long>, xbs array<long>")
+    met = posted.repartition(n, "pid").sortWithinPartitions("pid", "sub").mapInArrow(lambda b: grams.rebatched(meet(b), 1 << 20), "pid long, code binary, a binary, b binary, n binary")
+    return met.repartition(n, "pid").sortWithinPartitions("pid").mapInArrow(add, "ia long, ibs array<long>")
+
+
+def crowds(found: DataFrame, p: JoinParams) -> tuple[np.ndarray, np.ndarray]:
+    """(codes in ascending order, number of the crowd of each) of the sets in crowds."""
+    one = stored(found.where(F.col("bands").isNotNull()).groupBy("code").agg(F.first("bands").alias("bands")), "ngram-bands")
+    ends = one.select("code", F.explode("bands").alias("band"))
+    hubs = stored(ends.groupBy("band").agg(F.count("*").alias("n"), F.min("code").alias("least")).where(F.col("n") >= p.crowd_min), "ngram-hubs")
+    least, total = p.crowd_min, 0
+    for r in hubs.groupBy("n").count().orderBy(F.desc("n")).toArrow().to_pylist():
+        total += r["n"] * r["count"]
+        if total > p.crowd_max:
+            least = r["n"] + 1
+            break
+    rows = ends.join(hubs.where(F.col("n") >= least), "band").select("code", "least").distinct().toArrow()
+    sets, at = np.unique(np.concatenate([rows[c].to_numpy() for c in ("code", "least")]), return_inverse=True)
+    a, b = at[: rows.num_rows], at[rows.num_rows :]
+    label, before = np.arange(len(sets)), None
+    while before is None or (label != before).any():
+        before, low = label.copy(), np.minimum(label[a], label[b])
+        np.minimum.at(label, a, low)
+        np.minimum.at(label, b, low)
+        label = label[label]
+    return sets, label
+
+
+def crowd_cells(spark: SparkSession, crowds: tuple[np.ndarray, np.ndarray], p: JoinParams) -> DataFrame:
+    """(label, ba, bb, side, code): each set of a crowd in all pairs of blocks that its own is in; ba is below zero, which it isn't for candidates."""
+    sets, crowd = crowds
+    _, at, g = np.unique(crowd, return_inverse=True, return_counts=True)
+    size = np.bincount(at, weights=_sizes(sets), minlength=len(g))
+    blocks = np.maximum(-(-g // p.crowd_block), np.ceil(size / p.crowd_grams).astype(np.int64))[at]
+    mine = (grams.mix(sets.view(np.uint64)) % np.maximum(blocks, 1).astype(np.uint64)).astype(np.int64)
+    rows = spark.createDataFrame(pa.table({"label": crowd, "code": sets, "blocks": blocks, "mine": mine}), "label long, code long, blocks long, mine long")
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    return rows.select("label", (-1 - F.least("mine", "other")).alias("ba"), F.greatest("mine", "other").alias("bb"), (F.col("mine") > F.col("other")).cast("int").alias("side"), "code")
 
 
 class _Forest:
@@ -531,11 +636,64 @@ def _verify(own: list[np.ndarray], partners: dict[int, list[int]], t: float, for
     return out
 
 
+def _shared(left: list[np.ndarray], right: list[np.ndarray] | None) -> np.ndarray:
+    """Number of grams that each of ``left`` has in common with each of ``right``, or else of ``left``."""
+    every = [*left, *(right or [])]
+    lens = np.array([len(x) for x in every], dtype=np.int64)
+    out = np.zeros((len(left), len(left if right is None else right)), dtype=np.float32)
+    if not out.size:
+        return out
+    _, at, count = np.unique(np.concatenate(every), return_inverse=True, return_counts=True)
+    row, often = np.repeat(np.arange(len(lens)), lens), count > 1
+    row, at = row[often[at]], (np.cumsum(often) - 1)[at[often[at]]]
+    order = np.argsort(at, kind="stable")
+    row, at = row[order], at[order]
+    for lo in range(0, int(often.sum()), _COLUMNS):
+        some = slice(*np.searchsorted(at, (lo, lo + _COLUMNS)))
+        m = np.zeros((len(lens), _COLUMNS), dtype=np.float32)
+        m[row[some], at[some] - lo] = 1
+        out += m[: len(left)] @ m[0 if right is None else len(left) :].T
+    if right is None:
+        np.fill_diagonal(out, lens)
+    return out
+
+
+def _crowd(own: list[np.ndarray], side: np.ndarray, n: np.ndarray, square: bool, t: float, forest: bool, counted: bool) -> tuple[np.ndarray, ...]:
+    """(a, b, documents for a's count, for b's, Jaccard, does it connect) of the similar pairs of a block or of two; if ``counted``, those that connect, and sums with b = -1."""
+    i = np.flatnonzero(side == 0)
+    j = i if square else np.flatnonzero(side == 1)
+    lens = np.array([len(s) for s in own])
+    shared = _shared([own[x] for x in i], None if square else [own[x] for x in j]).astype(np.float64)
+    union = lens[i][:, None] + lens[j][None] - shared
+    ok = shared >= t * union - 1e-9
+    if square:
+        np.fill_diagonal(ok, False)
+    label, tree = np.arange(len(own)), []
+    for r in range(len(i)):
+        c = np.flatnonzero(ok[r] & (label[j] != label[i[r]]))
+        if len(c):
+            roots, first = np.unique(label[j[c]], return_index=True)
+            tree.extend((r, x) for x in c[first])
+            label[np.isin(label, roots)] = label[i[r]]
+    edge = np.zeros_like(ok)
+    if tree:
+        edge[tuple(np.array(tree).T)] = True
+    r, c = np.nonzero(edge if forest or counted else np.triu(ok) if square else ok)
+    a, b, jaccard, connects = i[r], j[c], shared[r, c] / union[r, c], edge[r, c]
+    if not counted:
+        return a, b, n[a], n[b], jaccard, connects
+    sums = [(i, ok @ n[j])] if square else [(i, ok @ n[j]), (j, n[i] @ ok)]
+    who, links = (np.concatenate(x) for x in zip(*sums))
+    zero = np.zeros(len(a), np.int64)
+    return (*(np.concatenate(x) for x in ((a, who), (b, np.full(len(who), -1)), (zero, np.zeros(len(who), np.int64)), (zero, links), (jaccard, np.zeros(len(who))), (connects, np.zeros(len(who), bool)))),)
+
+
 @dataclass
 class Join:
     """``sets``: (doc_id, sig, aux; null without words), one row a document; ``classes``: (sig, aux, rep, n) with the
     least doc_id and the number of documents; ``pairs``: similar classes as (x, y, nx, ny, jaccard, tree), x and y their
-    rep; those with ``tree`` connect all that the others do, and with ``forest`` there are no others."""
+    rep; those with ``tree`` connect all that the others do, and with ``forest`` there are no others. If ``counted``, of the pairs in a
+    crowd there are those that connect, with nx = ny = 0, and for x the sum of what they'd have in ny, with a null y."""
 
     sets: DataFrame
     classes: DataFrame
@@ -543,13 +701,13 @@ class Join:
     heavy_from: int
 
 
-def similar(docs: DataFrame, p: JoinParams = JoinParams(), forest: bool = False) -> Join:
+def similar(docs: DataFrame, p: JoinParams = JoinParams(), forest: bool = False, counted: bool = False) -> Join:
     """Join ``docs`` (doc_id, text) with itself."""
     docs = docs.select("doc_id", "text").where(F.col("doc_id").isNotNull())
     found = stored(survey(docs, p), "ngram-survey")
-    own = F.min(F.when(F.col("c") > 0, F.struct(F.col("b").alias("sig"), F.col("c").alias("aux")))).alias("s")
-    sets = stored(found.where(F.col("kind") == _DOC).groupBy(F.col("a").alias("doc_id")).agg(own).select("doc_id", "s.sig", "s.aux"), "ngram-sets")
-    classes = stored(sets.where("aux IS NOT NULL").groupBy("sig", "aux").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n")), "ngram-classes")
+    own = F.min(F.when(F.col("c") > 0, F.struct(F.col("b").alias("sig"), F.col("c").alias("aux"), "code"))).alias("s")
+    sets = stored(found.where(F.col("kind") == _DOC).groupBy(F.col("a").alias("doc_id")).agg(own).select("doc_id", "s.sig", "s.aux", "s.code"), "ngram-sets")
+    classes = stored(sets.where("aux IS NOT NULL").groupBy("sig", "aux", "code").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n")), "ngram-classes")
     hot_rows = found.where(F.col("kind") == _HOT).groupBy("a").agg(F.sum("b").alias("n")).orderBy(F.desc("n"), "a").limit(p.hot_max).toArrow()
     hot, count = hot_rows["a"].to_numpy().view(np.uint64), hot_rows["n"].to_numpy()
     o = np.argsort(hot)
@@ -559,35 +717,40 @@ def similar(docs: DataFrame, p: JoinParams = JoinParams(), forest: bool = False)
     heavy_from = boundary(p, by_size, n_blocks)
 
     pids = reducers(docs.sparkSession)
-    cand = stored(candidates(postings(docs, p, (hot, count), heavy_from, pids), p, heavy_from, pids), "ngram-candidates")
-    keyed = _grouped(cand, docs, classes, p)
+    together = crowds(found, p)
+    cand = stored(candidates(postings(docs, p, (hot, count), heavy_from, pids), p, heavy_from, pids, together), "ngram-candidates")
+    keyed = _grouped(cand, crowd_cells(docs.sparkSession, together, p), docs, classes, p)
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, index, own, facts, partners = None, {}, [], [], []
+        at, index, own, facts, partners = None, {}, [], [], {}
 
         def close() -> pa.RecordBatch:
-            pairs = _verify(own, {index[a]: [index[b] for b in bs] for a, bs in partners}, p.t, forest)
-            a, b, j, tree = (np.array(x) for x in zip(*pairs)) if pairs else (np.zeros(0, np.int64),) * 4
             f = np.array(facts, dtype=np.int64)
+            if at[1] < 0:
+                a, b, nx, ny, j, tree = _crowd(own, f[:, 2], f[:, 1], -1 - at[1] == at[2], p.t, forest, counted)
+            else:
+                pairs = _verify(own, {k: [x for b in bs for x in index[b]] for a, bs in partners.items() for k in index[a]}, p.t, forest)
+                a, b, j, tree = (np.array(x) for x in zip(*pairs)) if pairs else (np.zeros(0, np.int64),) * 4
+                nx, ny = f[a, 1], f[b, 1]
             index.clear(), own.clear(), facts.clear(), partners.clear()
-            cols = [f[a, 0], f[b, 0], f[a, 1], f[b, 1], j.astype(np.float64), tree.astype(bool)]
-            return pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["x", "y", "nx", "ny", "jaccard", "tree"])
+            cols = [pa.array(f[a, 0]), pa.array(f[b, 0], mask=b < 0), *(pa.array(x) for x in (nx, ny, j.astype(np.float64), tree.astype(bool)))]
+            return pa.RecordBatch.from_arrays(cols, names=["x", "y", "nx", "ny", "jaccard", "tree"])
 
         for batch in batches:
-            label, ba, bb, sig, aux, rep, n = (batch.column(c).to_numpy() for c in range(7))
-            bounds, other = (batch.column(c).offsets.to_numpy() for c in (7, 8))
-            ib, xb = (batch.column(c).values.to_numpy() for c in (7, 8))
+            label, ba, bb, side, mine, rep, n = (batch.column(c).to_numpy() for c in range(7))
+            bounds, ib = batch.column(7).offsets.to_numpy(), batch.column(7).values.to_numpy()
             for r in range(batch.num_rows):
                 key = label[r], ba[r], bb[r]
                 if at is not None and key != at:
                     yield close()
-                at, me = key, (int(sig[r]), int(aux[r]))
-                if me not in index:
-                    index[me] = len(own)
-                    own.append(np.frombuffer(batch.column(9)[r].as_py(), dtype=np.uint64))
-                    facts.append((rep[r], n[r]))
+                at, me = key, int(mine[r])
+                known = index.setdefault(me, [])
+                if rep[r] not in (facts[k][0] for k in known):
+                    known.append(len(own))
+                    own.append(np.frombuffer(batch.column(8)[r].as_py(), dtype=np.uint64))
+                    facts.append((rep[r], n[r], side[r]))
                 if bounds[r + 1] > bounds[r]:
-                    partners.append((me, list(zip(ib[bounds[r] : bounds[r + 1]].tolist(), xb[other[r] : other[r + 1]].tolist()))))
+                    partners[me] = ib[bounds[r] : bounds[r + 1]].tolist()
         if at is not None:
             yield close()
 
@@ -595,41 +758,42 @@ def similar(docs: DataFrame, p: JoinParams = JoinParams(), forest: bool = False)
     return Join(sets, classes, stored(pairs, "ngram-pairs"), heavy_from)
 
 
-def _grouped(cand: DataFrame, docs: DataFrame, classes: DataFrame, p: JoinParams) -> DataFrame:
-    """(label, ba, bb, sig, aux, rep, n, ibs, xbs, grams): the candidates of each block with the sets they need.
+def _grouped(cand: DataFrame, cells: DataFrame, docs: DataFrame, classes: DataFrame, p: JoinParams) -> DataFrame:
+    """(label, ba, bb, side, code, rep, n, ibs, grams): the candidates of each block with the sets they need, and the crowds' ``cells``.
 
-    The label of a set is the least signature among itself and those it is a candidate of: copies of one text share it, and are checked together.
+    The label of a set is the least code among itself and those it is a candidate of: copies of one text share it, and are checked together.
     """
-    each = F.explode(F.arrays_zip("ibs", "xbs")).alias("o")
-    pointed = cand.select(F.col("ia").alias("l"), each).select("o.ibs", "o.xbs", "l")
-    label = pointed.unionByName(cand.select(F.col("ia").alias("ibs"), F.col("xa").alias("xbs"), F.col("ia").alias("l"))).groupBy(F.col("ibs").alias("sig"), F.col("xbs").alias("aux")).agg(F.min("l").alias("label"))
+    each = F.explode("ibs").alias("o")
+    pointed = cand.select(F.col("ia").alias("l"), each).select(F.col("o").alias("code"), "l")
+    label = pointed.unionByName(cand.select(F.col("ia").alias("code"), F.col("ia").alias("l"))).groupBy("code").agg(F.min("l").alias("label"))
     label = stored(label, "ngram-labels")
-    keyed = stored(cand.withColumnsRenamed({"ia": "sig", "xa": "aux"}).join(label, ["sig", "aux"]), "ngram-keyed")
+    keyed = stored(cand.withColumnRenamed("ia", "code").join(label, "code"), "ngram-keyed")
     large = stored(keyed.groupBy("label").agg(F.sum(F.size("ibs")).alias("pairs")).where(F.col("pairs") > p.group_pairs), "ngram-large")
     key = ["label", "ba", "bb"]
     zero = F.lit(0).cast("long")
-    whole = keyed.join(large, "label", "left_anti").select("label", zero.alias("ba"), zero.alias("bb"), "sig", "aux", "ibs", "xbs")
+    whole = keyed.join(large, "label", "left_anti").select("label", zero.alias("ba"), zero.alias("bb"), "code", "ibs")
     cut = keyed.join(large, "label").withColumn("blocks", F.ceil(F.sqrt(F.col("pairs") / p.group_pairs)).cast("long"))
-    block = lambda i, x: F.pmod(F.xxhash64(i, x), F.col("blocks"))
-    cut = cut.select("label", "blocks", "sig", "aux", each).withColumn("ba", block("sig", "aux")).withColumn("bb", block("o.ibs", "o.xbs"))
-    cut = cut.groupBy(*key, "sig", "aux").agg(F.collect_list("o").alias("os")).select(*key, "sig", "aux", F.col("os.ibs").alias("ibs"), F.col("os.xbs").alias("xbs"))
+    block = lambda x: F.pmod(F.xxhash64(x), F.col("blocks"))
+    cut = cut.select("label", "blocks", "code", each).withColumn("ba", block("code")).withColumn("bb", block("o"))
+    cut = cut.groupBy(*key, "code").agg(F.collect_list("o").alias("ibs"))
     left = whole.unionByName(cut)
     none = F.array().cast("array<bigint>")
-    right = left.select(*key, each).select(*key, F.col("o.ibs").alias("sig"), F.col("o.xbs").alias("aux")).distinct().withColumns({"ibs": none, "xbs": none})
-    need = left.unionByName(right).join(classes, ["sig", "aux"]).select(*key, "sig", "aux", "rep", "n", "ibs", "xbs")
+    right = left.select(*key, each).select(*key, F.col("o").alias("code")).distinct().withColumn("ibs", none)
+    need = left.unionByName(right).withColumn("side", F.lit(0)).unionByName(cells.withColumn("ibs", none))
+    need = need.join(classes, "code").select(*key, "side", "code", "rep", "n", "ibs", "sig", "aux")
     texts = need.join(docs, F.col("rep") == F.col("doc_id")).select(*need.columns, "text")
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for lo in range(0, b.num_rows, _SLICE):
                 some = b.slice(lo, _SLICE)
-                sets = list(grams.gram_sets(some.column(9).to_pylist(), p.n))
+                sets = list(grams.gram_sets(some.column(10).to_pylist(), p.n))
                 sig = np.array([signature(s) for s in sets], np.int64).reshape(-1, 2)
-                own = (sig[:, 0] == some.column(3).to_numpy()) & (sig[:, 1] == some.column(4).to_numpy())  # a doc_id may have other rows
-                columns = [*some.columns[:9], pa.array([s.tobytes() for s in sets], pa.binary())]
-                yield pa.RecordBatch.from_arrays(columns, names=[*some.schema.names[:9], "grams"]).filter(pa.array(own))
+                own = (sig[:, 0] == some.column(8).to_numpy()) & (sig[:, 1] == some.column(9).to_numpy())  # a doc_id may have other rows
+                columns = [*some.columns[:8], pa.array([s.tobytes() for s in sets], pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names=[*some.schema.names[:8], "grams"]).filter(pa.array(own))
 
-    return texts.mapInArrow(hashed, "label long, ba long, bb long, sig long, aux long, rep long, n long, ibs array<long>, xbs array<long>, grams binary")
+    return texts.mapInArrow(hashed, "label long, ba long, bb long, side int, code long, rep long, n long, ibs array<long>, grams binary")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -651,9 +815,9 @@ def components(edges: DataFrame) -> DataFrame:
 
 def document_links(docs: DataFrame, p: JoinParams = JoinParams()) -> DataFrame:
     """(doc_id, class_id, n_links) of each document: the least doc_id of all that similar pairs connect it with, and the number of other documents similar to it."""
-    j = similar(docs, p)
+    j = similar(docs, p, counted=True)
     ends = j.pairs.select(F.explode(F.array(F.struct(F.col("x").alias("v"), F.col("ny").alias("n")), F.struct(F.col("y").alias("v"), F.col("nx").alias("n")))).alias("e"))
-    links = ends.groupBy("e.v").agg(F.sum("e.n").alias("links"))
+    links = ends.where("e.v IS NOT NULL").groupBy("e.v").agg(F.sum("e.n").alias("links"))
     root = components(j.pairs.where("tree").select("x", "y"))
     known = j.classes.join(links, F.col("rep") == links["v"], "left").drop("v").join(root, F.col("rep") == root["v"], "left")
     known = known.select("sig", "aux", F.coalesce("root", "rep").alias("class_id"), (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
