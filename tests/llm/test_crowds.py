@@ -6,6 +6,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
+import corpus_pipeline
 from sievework.llm import ngram_join as nj
 from tests.llm.test_joins import SCHEMA, brute_links, brute_pairs, corpus, expanded
 
@@ -40,6 +41,17 @@ def test_every_set_of_a_large_cluster_is_in_one_crowd_whose_pairs_are_no_candida
     assert pairs[0][0] < 100 and 170 < pairs[0][1] <= 180  # 5,310 pairs
 
 
+def test_the_pipeline_drops_a_large_cluster_without_candidates_of_its_pairs(spark, monkeypatch):
+    pairs = []
+    real = nj._grouped
+    monkeypatch.setattr(nj, "_grouped", lambda cand, *a: pairs.append(cand.selectExpr("coalesce(sum(size(ibs)), 0)").first()[0]) or real(cand, *a))
+    rows = [(i, t, "en", "src0", len(t)) for i, (_, t, *_) in enumerate(x for x in crowded(7, 60) if x[0] is not None and 1000 <= x[0] < 1180)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    kept = {r["doc_id"] for r in corpus_pipeline.drop_near_duplicates(spark, docs, "").collect()}
+    assert kept == {root for _, root, _ in brute_links(rows, 0.51)}
+    assert pairs[0] < 100  # of 5,310 pairs
+
+
 @pytest.mark.parametrize("targets", [50, 3000])
 def test_a_posting_has_few_bytes_however_many_reducers(targets):
     class Docs:
