@@ -13,11 +13,13 @@ similarity of at least ``t`` are found:
   s - ceil(t s) + 1, and at least k within their first s - ceil(t s) + k. Heavy sets, and
   the light ones large enough to be similar to one, have inverted lists of that
   prefix with k = ``lead`` s; the lists are scanned with length and position bounds,
-  and a pair is a candidate if k of them have both.
+  and a pair is a candidate if k of them have both. The overlap o that two sets need follows from both sizes, so
+  only those in the first s - o + k of either count: the later ones are the frequent ones, by which most meet by chance.
 * The boundary minimises the postings plus the expected scans over all sizes that
   occur, from the counts of sets by size and of the list entries that their prefixes meet.
 * Candidates are verified on the whole sets, which are sent once to each block of
-  candidates and not once for each pair.
+  candidates and not once for each pair. Texts that no candidate needs stay where they are:
+  a bitmap of ids (at most 2^``id_bits`` bits; a false hit only sends a text more) tells.
 
 Crowds: many near copies of one text have quadratically many pairs, which would meet in
 hundreds of lists each. Sets that share a band of four least grams with ``crowd_min`` others or
@@ -35,7 +37,9 @@ The first pass over the texts gives signatures, counts by size and frequent gram
 bounded by ``hot_max``). Postings (a table of sets, 40 bits of each key
 and a position) and pairs travel as one binary row for each task and reducer. There a set
 is its code, 48 bits of the signature and the size rounded up to 12 binary digits; all
-classes of one code are verified.
+classes of one code are verified. Pairs that meet by chance grow with the square of the table;
+they are sent as sorted distances in a few bytes each. The shuffle files of a step
+are deleted as soon as its table is written.
 
 Defined results: null and empty texts and texts without words are classes of their own
 without links; rows with a null doc_id take no part; rows that repeat a doc_id are one
@@ -46,16 +50,20 @@ gives no rows. Extra columns of any name are left alone.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sievework import shared
 from sievework.llm import grams
-from sievework.shared import stored, table
+from sievework.llm.substrings import bitmap, has_bit
+from sievework.shared import table
 
 _FLUSH = 1 << 19
 _SUBS = 4  # a reducer scans its long lists in so many parts, to bound its memory
@@ -75,6 +83,7 @@ _BANDS, _BAND = 12, 4
 _EDGES = (np.arange(_BANDS * _BAND, dtype=np.uint64) * np.uint64((1 << 64) // (_BANDS * _BAND))).astype(np.uint64)
 _CROWDED = 8  # grams from which a set can be in a crowd
 _COLUMNS = 2048  # grams of an incidence matrix at a time
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 @dataclass(frozen=True)
@@ -93,6 +102,7 @@ class JoinParams:
     crowd_max: int = 1 << 21
     crowd_block: int = 1 << 10
     crowd_grams: int = 1 << 20
+    id_bits: int = 26
 
     def __post_init__(self) -> None:
         if not 0.5 < self.t <= 1:
@@ -110,6 +120,33 @@ class JoinParams:
         return s - self.least(s) + self.common(s)
 
 
+@contextmanager
+def _freed(spark: SparkSession) -> Iterator[None]:
+    """Queries that end in here delete their shuffle files at once; else these stay until the driver happens to collect its garbage."""
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(_CLEANUP, before)
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    with _freed(df.sparkSession):
+        return shared.stored(df, name)
+
+
+def among(ids: DataFrame, column: str, p: JoinParams) -> Callable[[Column], Column]:
+    """A test whether an id may be one of ``ids``: true for all that are, and for few others unless there are over 2^``id_bits`` / 16; null for null."""
+    bits = bitmap(ids.select(F.xxhash64(column).alias("anchor")), p.id_bits)
+
+    @F.pandas_udf("boolean")
+    def test(h: pd.Series) -> pd.Series:
+        return pd.Series(has_bit(bits, h.to_numpy(np.int64).view(np.uint64)))
+
+    return lambda c: F.when(c.isNotNull(), test(F.xxhash64(c)))
+
+
 def signature(s: np.ndarray) -> tuple[int, int]:
     """(64-bit hash of a set of grams, 35 bits more and the size): what stands for the set."""
     if not len(s):
@@ -362,7 +399,7 @@ def postings(docs: DataFrame, p: JoinParams, hot: tuple[np.ndarray, np.ndarray],
     return docs.mapInArrow(run, "pid long, sub int, key binary, code binary, runs binary, pos binary")
 
 
-def _scan(key: np.ndarray, own: np.ndarray, size: np.ndarray, pos: np.ndarray, crowd: np.ndarray, t: float, heavy_from: int) -> Iterator[tuple[np.ndarray, ...]]:
+def _scan(key: np.ndarray, own: np.ndarray, size: np.ndarray, pos: np.ndarray, crowd: np.ndarray, p: JoinParams, heavy_from: int) -> Iterator[tuple[np.ndarray, ...]]:
     """Pairs in the postings of whole lists that aren't of one crowd: (number of either set, what it counts); crowd: -1 for none."""
     subset = pos == _SUBSET
     key = (key << np.uint64(1)) | subset
@@ -387,9 +424,11 @@ def _scan(key: np.ndarray, own: np.ndarray, size: np.ndarray, pos: np.ndarray, c
     end = np.repeat(begins + lengths, lengths)
 
     def similar(i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, ...]:
-        need = np.ceil(_CLOSE * t / (1 + t) * (size[i] + size[j]) - 1e-9)
-        most = np.minimum(pos[i], pos[j]) + np.minimum(size[i] - pos[i], size[j] - pos[j])
-        ok = subset[i] | ((np.maximum(size[i], size[j]) >= heavy_from) & (most >= need) & (~cross[i] | (side[i] != side[j])))
+        need = np.ceil(_CLOSE * p.t / (1 + p.t) * (size[i] + size[j]) - 1e-9)
+        rest = np.minimum(size[i] - pos[i], size[j] - pos[j])
+        # the first k grams in common are where ``need`` - k and more are to come
+        first = rest > need - np.maximum(1, np.floor(p.lead * np.minimum(size[i], size[j])))
+        ok = subset[i] | ((np.maximum(size[i], size[j]) >= heavy_from) & first & (np.minimum(pos[i], pos[j]) + rest >= need) & (~cross[i] | (side[i] != side[j])))
         a, b = i[ok], j[ok]
         return own[a], own[b], np.where(subset[a], _LIGHT, 1)
 
@@ -399,7 +438,7 @@ def _scan(key: np.ndarray, own: np.ndarray, size: np.ndarray, pos: np.ndarray, c
         d += 1
         i = i[i + d < end[i]]
         j = i + d
-        near = size[i] >= _CLOSE * t * size[j]  # sizes ascend within a list
+        near = size[i] >= _CLOSE * p.t * size[j]  # sizes ascend within a list
         i, j = i[near], j[near]
         if len(i):
             yield similar(i, j)
@@ -424,7 +463,7 @@ def _scan(key: np.ndarray, own: np.ndarray, size: np.ndarray, pos: np.ndarray, c
     while len(i):
         i = i[behind[i] + d < last[i]]
         x, y = at[i], at[behind[i] + d]
-        near = np.minimum(size[x], size[y]) >= _CLOSE * t * np.maximum(size[x], size[y])
+        near = np.minimum(size[x], size[y]) >= _CLOSE * p.t * np.maximum(size[x], size[y])
         if near.any():
             yield similar(x[near], y[near])
         d += 1
@@ -465,22 +504,62 @@ class _Met:
         self.code, self.n = code[one], np.add.reduceat(n, one) if len(one) else n
 
     def take(self, targets: np.ndarray) -> Iterator[pa.RecordBatch]:
-        """All pairs, which are forgotten: one row for each target that the first set's hash has, with a table of its sets and the pairs as places in it."""
+        """All pairs, which are forgotten: one row for each target that the lesser set's hash has."""
         self.merge()
         a, b = (self.code >> np.uint64(32)).astype(np.int64), (self.code & np.uint64(0xFFFFFFFF)).astype(np.int64)
         n = np.minimum(self.n, 0xFFFF).astype(np.uint16)
         self.code, self.n = self.code[:0], self.n[:0]
-        swap = self.sets[b] < self.sets[a]
-        a, b = np.where(swap, b, a), np.where(swap, a, b)
-        part = (grams.mix(self.sets[a].view(np.uint64)) % np.uint64(len(targets))).astype(np.int64)
+        a, b = self.sets[a], self.sets[b]
+        a, b = np.minimum(a, b), np.maximum(a, b)
+        part = (grams.mix(a.view(np.uint64)) % np.uint64(len(targets))).astype(np.int64)
         order = np.lexsort((b, a, part))
         cuts = np.searchsorted(part[order], np.arange(len(targets) + 1))
         for i in np.flatnonzero(np.diff(cuts)):
             o = order[cuts[i] : cuts[i + 1]]
-            sets, at = np.unique(np.concatenate((a[o], b[o])), return_inverse=True)
-            at = at.astype(np.int32)
-            columns = (self.sets[sets], at[: len(o)], at[len(o) :], n[o])
-            yield pa.RecordBatch.from_arrays([pa.array([targets[i]]), *(pa.array([x.tobytes()], pa.binary()) for x in columns)], names=["pid", "code", "a", "b", "n"])
+            told = _told(a[o], b[o], n[o])
+            yield pa.RecordBatch.from_arrays([pa.array([targets[i]]), *told.columns], names=["pid", *told.schema.names])
+
+
+def _pressed(x: np.ndarray) -> bytes:
+    """Numbers from 0 on, mostly small: bytes of equal weight side by side, compressed."""
+    return len(x).to_bytes(4, "little") + pa.Codec("zstd").compress(np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8).T).tobytes(), asbytes=True)
+
+
+def _unpressed(x: bytes) -> np.ndarray:
+    n = int.from_bytes(x[:4], "little")
+    raw = pa.Codec("zstd").decompress(x[4:], decompressed_size=8 * n, asbytes=True)
+    return np.ascontiguousarray(np.frombuffer(raw, dtype=np.uint8).reshape(8, -1).T).view("<u8")[:, 0].astype(np.int64)
+
+
+def _pressed_codes(x: np.ndarray) -> bytes:
+    """Codes in ascending order: how far each signature is from the one before, and the sizes."""
+    return _pressed(np.concatenate((np.diff(x >> 16, prepend=-(1 << 47)), x & 0xFFFF)))
+
+
+def _unpressed_codes(x: bytes) -> np.ndarray:
+    far, size = _unpressed(x).reshape(2, -1)
+    return (np.cumsum(far) - (1 << 47)) << 16 | size
+
+
+def _told(a: np.ndarray, b: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+    """(code, runs, far, n) of pairs of codes a < b in ascending order: their sets, the number of pairs of each, and how far b is behind the one before."""
+    sets, at = np.unique(np.concatenate((a, b)), return_inverse=True)
+    ia, ib = at[: len(a)], at[len(a) :]
+    far = np.diff(ib, prepend=0)
+    new = _edges(ia)
+    far[new] = (ib - ia)[new]
+    columns = (_pressed_codes(sets), _pressed(np.bincount(ia, minlength=len(sets))), _pressed(far), _pressed(n))
+    return pa.RecordBatch.from_arrays([pa.array([x], pa.binary()) for x in columns], names=["code", "runs", "far", "n"])
+
+
+def _heard(code: bytes, runs: bytes, far: bytes, n: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The (a, b, n) that ``_told`` had."""
+    sets, runs, far = _unpressed_codes(code), _unpressed(runs), _unpressed(far)
+    ia = np.repeat(np.arange(len(sets)), runs)
+    sums = np.cumsum(far)
+    first = np.cumsum(runs) - runs
+    before = np.concatenate(([0], sums))[first]
+    return sets[ia], sets[ia + sums - np.repeat(before, runs)], _unpressed(n)
 
 
 def _summed(ia: np.ndarray, ib: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -517,8 +596,7 @@ def _pairs_by_pid(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarra
                 yield tuple(np.concatenate(x) for x in zip(*parts))
                 parts.clear()
             at = pid
-            sets, a, b, n = (np.frombuffer(batch.column(c)[r].as_py(), dtype=k) for c, k in zip(range(1, 5), (np.int64, np.int32, np.int32, np.uint16)))
-            parts.append((sets[a], sets[b], n))
+            parts.append(_heard(*(batch.column(c)[r].as_py() for c in range(1, 5))))
     if at is not None:
         yield tuple(np.concatenate(x) for x in zip(*parts))
 
@@ -541,7 +619,7 @@ def candidates(posted: DataFrame, p: JoinParams, heavy_from: int, pids: list[int
                 yield from met.take(targets)
                 met = _Met()
             at = pid
-            for pairs in _scan(key, *(np.repeat(x, runs) for x in (met.numbers(sets), _sizes(sets))), pos, np.repeat(crowd_of(sets), runs), p.t, heavy_from):
+            for pairs in _scan(key, *(np.repeat(x, runs) for x in (met.numbers(sets), _sizes(sets))), pos, np.repeat(crowd_of(sets), runs), p, heavy_from):
                 met.add(*pairs)
                 if len(met.code) >= _HELD:
                     yield from met.take(targets)
@@ -557,7 +635,7 @@ def candidates(posted: DataFrame, p: JoinParams, heavy_from: int, pids: list[int
             yield pa.RecordBatch.from_arrays([pa.array(ia[first]), pa.ListArray.from_arrays(bounds, pa.array(ib))], names=["ia", "ibs"])
 
     n = len(targets)
-    met = posted.repartition(n, "pid").sortWithinPartitions("pid", "sub").mapInArrow(lambda b: grams.rebatched(meet(b), 1 << 20), "pid long, code binary, a binary, b binary, n binary")
+    met = posted.repartition(n, "pid").sortWithinPartitions("pid", "sub").mapInArrow(lambda b: grams.rebatched(meet(b), 1 << 20), "pid long, code binary, runs binary, far binary, n binary")
     return met.repartition(n, "pid").sortWithinPartitions("pid").mapInArrow(add, "ia long, ibs array<long>")
 
 
@@ -703,6 +781,11 @@ class Join:
 
 def similar(docs: DataFrame, p: JoinParams = JoinParams(), forest: bool = False, counted: bool = False) -> Join:
     """Join ``docs`` (doc_id, text) with itself."""
+    with _freed(docs.sparkSession):
+        return _similar(docs, p, forest, counted)
+
+
+def _similar(docs: DataFrame, p: JoinParams, forest: bool, counted: bool) -> Join:
     docs = docs.select("doc_id", "text").where(F.col("doc_id").isNotNull())
     found = stored(survey(docs, p), "ngram-survey")
     own = F.min(F.when(F.col("c") > 0, F.struct(F.col("b").alias("sig"), F.col("c").alias("aux"), "code"))).alias("s")
@@ -780,7 +863,8 @@ def _grouped(cand: DataFrame, cells: DataFrame, docs: DataFrame, classes: DataFr
     none = F.array().cast("array<bigint>")
     right = left.select(*key, each).select(*key, F.col("o").alias("code")).distinct().withColumn("ibs", none)
     need = left.unionByName(right).withColumn("side", F.lit(0)).unionByName(cells.withColumn("ibs", none))
-    need = need.join(classes, "code").select(*key, "side", "code", "rep", "n", "ibs", "sig", "aux")
+    need = stored(need.join(classes, "code").select(*key, "side", "code", "rep", "n", "ibs", "sig", "aux"), "ngram-need")
+    docs = docs.where(among(need, "rep", p)(F.col("doc_id")))
     texts = need.join(docs, F.col("rep") == F.col("doc_id")).select(*need.columns, "text")
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -837,7 +921,9 @@ def one_of_each_group(docs: DataFrame, p: JoinParams = JoinParams()) -> DataFram
     """``docs`` with the least doc_id of each group of similar documents; of rows of one doc_id one stays. Texts without words and null ids stay."""
     if "doc_id" not in docs.columns or "text" not in docs.columns:
         raise ValueError("docs needs doc_id and text")
-    out = docs.join(dropped(docs, p), "doc_id", "left_anti").select(docs.columns)
+    gone = stored(dropped(docs, p), "ngram-gone")
+    may = F.coalesce(among(gone, "doc_id", p)(F.col("doc_id")), F.lit(False))
+    out = docs.where(~may).unionByName(docs.where(may).join(gone, "doc_id", "left_anti").select(docs.columns))
     again = docs.where(F.col("doc_id").isNotNull()).groupBy("doc_id").count().where("count > 1").select("doc_id")
     if again.isEmpty():
         return out
