@@ -143,13 +143,14 @@ def latin_sample(c: Column, runs: int = 3, most: int = 160) -> Column:
     return F.substring(F.array_join(F.slice(F.regexp_extract_all(c, F.lit("([A-Za-z]+)"), 1), 1, runs), " | "), 1, most)
 
 
-def marker_hits(c: Column, words: tuple[str, ...]) -> Column:
-    return count(c, r"(?U)\b(?:" + "|".join(words) + r")\b")
+def marker_hits(c: Column, words: tuple[str, ...], word: str = r"\w") -> Column:
+    """Hits of words that no character of ``word`` touches; what \\b takes for a letter depends on the JDK and its flags."""
+    return count(c, rf"(?U)(?<![{word}])(?:{'|'.join(words)})(?![{word}])")
 
 
 def leans(c: Column, p: ScriptProfile = LATIN, ratio: float = 1.5) -> Column:
     """struct(a, b, flag): hits of either marker list; the flag is set where a leads b by the ratio."""
-    a, b = marker_hits(c, p.lean_a), marker_hits(c, p.lean_b)
+    a, b = marker_hits(c, p.lean_a, p.word), marker_hits(c, p.lean_b, p.word)
     return F.struct(a.alias("a"), b.alias("b"), ((a > b * F.lit(ratio)) & (a > 0)).alias("flag"))
 
 

@@ -70,7 +70,8 @@ def flag_counts(df: DataFrame, flags: str = "flags") -> DataFrame:
     """(flag, n, share of all rows), most frequent first; a row may have several, joined by semicolons."""
     total = df.count()
     each = df.select(F.explode(F.filter(F.split(flags, ";"), lambda f: f != "")).alias("flag")).groupBy("flag").agg(F.count("*").alias("n"))
-    return each.select("flag", "n", F.round(F.col("n") / F.lit(max(total, 1)), 6).alias("share")).orderBy(F.desc("n"), "flag")
+    share = F.round(F.col("n") / F.lit(max(total, 1)) * 1e6) / 1e6  # rounded as SQL engines round doubles: 41/640 is 0.064062, not 0.064063
+    return each.select("flag", "n", share.alias("share")).orderBy(F.desc("n"), "flag")
 
 
 def changes(before: DataFrame, after: DataFrame, key: str, column: str) -> DataFrame:
