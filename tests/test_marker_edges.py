@@ -2,9 +2,12 @@
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
+from sievework.functions import text as T
 from sievework.operators import stats as S
 from sievework.plans.catalogue import ORACLES, QUERIES
+from sievework.profiles import ARABIC_KURDISH
 from tests.compare import _value, rows
 
 CONTEXTS = [
@@ -49,3 +52,14 @@ def test_flag_counts(spark, folder):
 def test_shares_are_rounded_as_by_sql(spark, n, total):
     flags = spark.range(total).selectExpr(f"CASE WHEN id < {n} THEN 'a' ELSE '' END AS flags")
     assert S.flag_counts(flags).first()["share"] == duckdb.sql(f"SELECT round({n} / {total}::DOUBLE, 6)").fetchall()[0][0]
+
+
+def test_outlier_flags(spark, folder):
+    got = rows(QUERIES["outlier_flags"](spark, folder))
+    assert len(got) == N and got == by_sql(folder, "outlier_flags")
+
+
+def test_words_of_other_scripts_end_at_letters(spark):
+    """The Arabic profile keeps its edges: any letter is part of a word."""
+    texts = spark.createDataFrame([("ژ دگەل",), ("ژە ئەڤژ",), ("لە، بە",)], "t string")
+    assert [tuple(r["s"]) for r in texts.select(T.leans(F.col("t"), ARABIC_KURDISH).alias("s")).collect()] == [(0, 2, False), (0, 0, False), (2, 0, True)]
