@@ -61,7 +61,9 @@ def chunks(docs: DataFrame, k: ChunkSizes = ChunkSizes(), p: ScriptProfile = LAT
     """One row for each chunk: chunk_id, document_id, source, origin, chunk_index, n_chunks, char_count, token_estimate, text."""
     doc = T.document_id(F.col("source"), F.col(id_col).cast("string"))
     one = docs.select(F.col(id_col).alias("doc_key"), doc.alias("document_id"), "source", chunk_array(F.coalesce(F.col(text_col), F.lit("")), k, p).alias("parts"))
-    rows = one.select("doc_key", "document_id", "source", F.size("parts").alias("n_chunks"), F.posexplode("parts").alias("chunk_index", "text"))
+    # Catalyst filters before a generator over a plain column by that column's size: the fold would run again, twice, in that filter.
+    placed = F.transform("parts", lambda x, i: F.struct(i.alias("chunk_index"), x.alias("text")))
+    rows = one.select("doc_key", "document_id", "source", F.size("parts").alias("n_chunks"), F.inline(placed))
     return rows.select(
         T.chunk_id(F.lit(origin), F.col("document_id"), F.col("chunk_index")).alias("chunk_id"), "document_id", "source", F.lit(origin).alias("origin"), "chunk_index", "n_chunks",
         F.length("text").alias("char_count"), T.token_estimate(F.col("text"), k.chars_per_token).alias("token_estimate"), "text", "doc_key",

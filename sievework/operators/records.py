@@ -57,11 +57,12 @@ def parse_response(text: Column) -> Column:
 
 
 def parse_responses(df: DataFrame, text: str) -> DataFrame:
-    """``df`` with status and pairs in place of ``text``; each step is a column of its own, so nothing is parsed twice."""
+    """``df`` with status and pairs in place of ``text``; each step is a column of its own, and a filter by status can't be pushed below the generator, so nothing is parsed twice."""
     keep = [c for c in df.columns if c != text]
     steps = df.select(*keep, T.strip_code_fence(F.col(text)).alias("_body")).withColumn("_items", _items(F.col("_body"))).withColumn("_good", valid_pairs(F.col("_items")))
     steps = steps.withColumn("status", _status(F.col("_body"), F.col("_items"), F.col("_good")))
-    return steps.select(*keep, "status", F.when(F.col("status") == "ok", F.col("_good")).otherwise(F.array().cast(_PAIRS)).alias("pairs"))
+    pairs = F.when(F.col("status") == "ok", F.col("_good")).otherwise(F.array().cast(_PAIRS))
+    return steps.select(*keep, F.inline(F.array(F.struct("status", pairs.alias("pairs")))))
 
 
 def context_mode(key: Column, share: float = 0.7, salt: str = "mode") -> Column:
